@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmart.operators.hotkeys import HOT_ROWS, hottest
+from haulmart.operators.hotkeys import HOT_ROWS, hot_keys, key_table
 
 
 @dataclass(frozen=True)
@@ -81,22 +81,23 @@ def before_each(
     never enter a window.
     """
     keyed = rows.filter(F.col(group) != "")
-    hot = hottest(
-        keyed.groupBy(group).agg(F.count(F.lit(1)).alias("_rows")), "_rows", group, hot_rows
-    ).select(group)
-    value_type = rows.schema[value].dataType
+    nameless = rows.filter(~F.coalesce(F.col(group) != "", F.lit(False))).withColumn(
+        out, F.lit(None).cast(rows.schema[value].dataType)
+    )
+    columns = [*rows.columns, out]
+    hot = hot_keys(keyed, F.col(group), hot_rows)
+    if not hot:
+        whole = _within(keyed, [group], [], value, order, out, carry)
+        return whole.select(*columns).unionByName(nameless.select(*columns))
 
-    ordinary = keyed.join(F.broadcast(hot), group, "left_anti")
+    crowded = key_table(rows, hot, group)
+    ordinary = keyed.join(crowded, group, "left_anti")
     cold = _within(ordinary, [group], [], value, order, out, carry)
-    cut = keyed.join(F.broadcast(hot), group, "left_semi")
-    names = [list(level) for level in buckets]
+    cut = keyed.join(crowded, group, "left_semi")
     for level in buckets:
         cut = cut.withColumns(level)
+    names = [list(level) for level in buckets]
     split = _within(cut, [group], names, value, order, out, carry)
-    nameless = rows.filter(~F.coalesce(F.col(group) != "", F.lit(False))).withColumn(
-        out, F.lit(None).cast(value_type)
-    )
-    columns = [*rows.columns, out]
     return (
         cold.select(*columns)
         .unionByName(split.select(*columns))

@@ -8,13 +8,13 @@ after it is a duplicate, whatever else may be wrong with it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmart.functions.render import snapshot
-from haulmart.operators.hotkeys import HOT_ROWS, join_per_key
+from haulmart.operators.hotkeys import HOT_ROWS, hot_keys, join_per_key
 
 _KEY = "_key"
 _OWN = "_own"
@@ -66,10 +66,12 @@ class Verdict:
     """Landed rows with their natural key, own fault and landing position."""
 
     judged: DataFrame
+    landed: DataFrame
+    key: Column
     repeat: Repeat
     newest_first: bool
-    hot_rows: int = HOT_ROWS
-    _columns: tuple[str, ...] = field(default=())
+    hot_rows: int
+    columns: tuple[str, ...]
 
     def accepted(self) -> DataFrame:
         """One row per natural key: the first acceptable one.
@@ -83,7 +85,7 @@ class Verdict:
         ranked = self.judged.filter((F.col(_KEY) != "") & F.col(_OWN).isNull()).withColumn(
             "_rank", F.row_number().over(Window.partitionBy(_KEY).orderBy(order))
         )
-        return ranked.filter(F.col("_rank") == 1).select(*self._columns)
+        return ranked.filter(F.col("_rank") == 1).select(*self.columns)
 
     def rejected(self) -> DataFrame:
         """Every refused row with the rule that refused it."""
@@ -92,11 +94,10 @@ class Verdict:
         per_key = (
             self.judged.filter(F.col(_KEY) != "")
             .groupBy(_KEY)
-            .agg(first.alias("_winner"), F.count(F.lit(1)).alias("_rows"))
-        )
-        placed = join_per_key(
-            self.judged, per_key, _KEY, "_rows", [F.col(_POSITION)], self.hot_rows
+            .agg(first.alias("_winner"))
         )
+        hot = hot_keys(self.landed, self.key, self.hot_rows)
+        placed = join_per_key(self.judged, per_key, _KEY, [F.col(_POSITION)], hot)
         position, winner = F.col(_POSITION), F.col("_winner")
         after = F.coalesce(
             position < winner if self.newest_first else position > winner, F.lit(False)
@@ -130,8 +131,13 @@ def judge(
     order: Sequence[str] = ("extracted_at", "id"),
     newest_first: bool = True,
     hot_rows: int = HOT_ROWS,
+    landed: DataFrame | None = None,
 ) -> Verdict:
-    """Attach natural key, first failing rule and landing position to ``rows``."""
+    """Attach natural key, first failing rule and landing position to ``rows``.
+
+    ``landed`` is what ``rows`` was before lookups were joined to it: the same
+    keys, cheaper to count.
+    """
     own = F.lit(None)
     for rule in reversed(rules):
         record = _record(
@@ -145,4 +151,7 @@ def judge(
     judged = rows.withColumns(
         {_KEY: key, _OWN: own, _POSITION: landing_order(*order)}
     )
-    return Verdict(judged, repeat, newest_first, hot_rows, tuple(rows.columns))
+    return Verdict(
+        judged, rows if landed is None else landed, key, repeat, newest_first, hot_rows,
+        tuple(rows.columns),
+    )

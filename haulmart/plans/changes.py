@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from haulmart.functions import derive as d
 from haulmart.functions.render import label
-from haulmart.operators.hotkeys import HOT_ROWS, join_per_key
+from haulmart.operators.hotkeys import HOT_ROWS, hot_keys, join_per_key
 from haulmart.operators.ordered import HIGHEST, before_each
 
 
@@ -76,12 +76,9 @@ def arrival_verdicts(
         }
     )
     winner = F.min(F.when(F.col("_own").isNull(), F.struct("_position", "_late")))
-    per_folio = judged.groupBy("folio").agg(
-        winner.alias("_winner"), F.count(F.lit(1)).alias("_events")
-    )
-    placed = join_per_key(
-        judged, per_folio, "folio", "_events", [F.col("event_id")], hot_rows
-    )
+    per_folio = judged.groupBy("folio").agg(winner.alias("_winner"))
+    hot = hot_keys(events, F.col("folio"), hot_rows)
+    placed = join_per_key(judged, per_folio, "folio", [F.col("event_id")], hot)
     status = F.when(F.col("_winner._late"), "DELAYED").otherwise("DELIVERED")
     reclosed = F.concat(
         F.lit("La entrega "), F.col("folio"), F.lit(" ya está cerrada ("),
@@ -189,10 +186,10 @@ def completion_verdicts(
     ).withColumn("_met_km", F.greatest("_start_km", "_before_km"))
     fits = (F.col("status") != "COMPLETED") & (F.col("odometer_km") >= F.col("_met_km"))
     per_folio = met.groupBy("folio").agg(
-        F.min(F.when(fits, F.col("_position"))).alias("_winner"),
-        F.count(F.lit(1)).alias("_events"),
+        F.min(F.when(fits, F.col("_position"))).alias("_winner")
     )
-    placed = join_per_key(met, per_folio, "folio", "_events", [F.col("event_id")], hot_rows)
+    hot = hot_keys(events, F.col("folio"), hot_rows)
+    placed = join_per_key(met, per_folio, "folio", [F.col("event_id")], hot)
     after = F.coalesce(F.col("_position") > F.col("_winner"), F.lit(False))
     reason = _refusal(
         (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmart.functions import derive as d
-from haulmart.operators.hotkeys import HOT_ROWS, hottest
+from haulmart.operators.hotkeys import HOT_ROWS, hot_keys, key_table
 from haulmart.operators.ordered import before_each
 
 
@@ -134,10 +134,7 @@ def previous_load(fuel_loads: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     forward minute by minute.
     """
     known = fuel_loads.withColumn("_vehicle", F.col("vehicle_id").cast("string"))
-    hot = hottest(
-        known.groupBy("_vehicle").agg(F.count(F.lit(1)).alias("_rows")),
-        "_rows", "_vehicle", hot_rows,
-    ).select("_vehicle")
+    hot = hot_keys(known, F.col("_vehicle"), hot_rows)
     reading = F.struct("load_datetime", "id", "odometer_km")
     active = F.when(F.col("is_active"), reading)
 
@@ -146,11 +143,14 @@ def previous_load(fuel_loads: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         Window.partitionBy("_vehicle").orderBy(micros)
         .rangeBetween(Window.unboundedPreceding, -1)
     )
-    cold = known.join(F.broadcast(hot), "_vehicle", "left_anti").withColumn(
-        "previous_odometer_km", F.max(active).over(earlier)["odometer_km"]
-    )
+    columns = [*fuel_loads.columns, "previous_odometer_km"]
+    latest = F.max(active).over(earlier)["odometer_km"]
+    if not hot:
+        return known.withColumn("previous_odometer_km", latest).select(*columns)
 
-    crowded = known.join(F.broadcast(hot), "_vehicle", "left_semi")
+    chosen = key_table(known, hot, "_vehicle")
+    cold = known.join(chosen, "_vehicle", "left_anti").withColumn("previous_odometer_km", latest)
+    crowded = known.join(chosen, "_vehicle", "left_semi")
     instants = crowded.groupBy("_vehicle", "load_datetime").agg(
         F.max(active)["odometer_km"].alias("_at_instant")
     )
@@ -160,7 +160,6 @@ def previous_load(fuel_loads: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         "previous_odometer_km", hot_rows=0,
     ).drop("_at_instant")
     split = crowded.join(carried, ["_vehicle", "load_datetime"])
-    columns = [*fuel_loads.columns, "previous_odometer_km"]
     return cold.select(*columns).unionByName(split.select(*columns))
 
 

@@ -164,6 +164,11 @@ def classification_metrics(scored: DataFrame, label: str = CLASSIFICATION_TARGET
     return call_metrics(scored, label).withColumn("roc_auc", F.lit(float(roc_auc(scored, label))))
 
 
+def choose_best(metrics: DataFrame) -> DataFrame:
+    """The candidate with the highest F1; the first of equals by position."""
+    return metrics.orderBy(F.col("f1").desc(), "position").limit(1)
+
+
 def regression_metrics(scored: DataFrame, label: str = REGRESSION_TARGET) -> DataFrame:
     """Mean squared, root and absolute error and R squared in one row."""
     actual = F.col(label).cast("double")

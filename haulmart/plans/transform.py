@@ -264,6 +264,7 @@ def deliveries(
         Repeat("Folio vacío o repetido.", payload),
         order=order,
         hot_rows=hot_rows,
+        landed=staging,
     )
     delay = d.delay_minutes(F.col("scheduled_arrival"), F.col("actual_arrival"))
     late = d.is_delayed(delay)
@@ -373,6 +374,7 @@ def fuel_loads(
         order=("vehicle_plate", "load_datetime", "id"),
         newest_first=False,
         hot_rows=hot_rows,
+        landed=staging,
     )
     rows = verdict.accepted().select(
         c.normalize_code(F.col("folio")).alias("folio"),
@@ -413,6 +415,7 @@ def maintenances(
         ],
         Repeat("Folio vacío o repetido.", payload),
         hot_rows=hot_rows,
+        landed=staging,
     )
     rows = verdict.accepted().select(
         c.normalize_code(F.col("folio")).alias("folio"),
