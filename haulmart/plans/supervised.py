@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -41,6 +42,10 @@ class Settings:
     max_iterations: int = 2000
     inverse_penalty: float = 1.0
     cv_folds: int = CV_FOLDS
+    # Gradient tolerance of the logistic fit.
+    tolerance: float = 1e-4
+    # Folds fitted at the same time.
+    parallelism: int = 5
 
 
 def preprocessor() -> list:
@@ -92,6 +97,7 @@ def logistic(rows: int, settings: Settings) -> LogisticRegression:
         elasticNetParam=0.0,
         standardization=False,
         maxIter=settings.max_iterations,
+        tol=settings.tolerance,
     )
 
 
@@ -245,11 +251,14 @@ def _f1(model: Transformer, rows: DataFrame) -> float:
 def cross_validate(train: DataFrame, build, settings: Settings) -> tuple[float, float]:
     """Mean and population deviation of F1 over hash folds of the train rows."""
     placed = folds(train, "folio", settings.cv_folds, settings.seed).persist()
+
+    def score(fold: int) -> float:
+        model = build(placed.filter(F.col("fold") != fold))
+        return _f1(model, placed.filter(F.col("fold") == fold))
+
     try:
-        scores = []
-        for fold in range(settings.cv_folds):
-            fitting = placed.filter(F.col("fold") != fold)
-            scores.append(_f1(build(fitting), placed.filter(F.col("fold") == fold)))
+        with ThreadPoolExecutor(settings.parallelism) as pool:
+            scores = list(pool.map(score, range(settings.cv_folds)))
     finally:
         placed.unpersist()
     centre = sum(scores) / len(scores)

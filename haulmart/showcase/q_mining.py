@@ -401,7 +401,8 @@ def _(x: Context):
 def _(x: Context):
     """The whole training job with a small forest and few restarts."""
     payload = training.train_all(
-        x.spark, x.star, x.scratch("models"), None, QUICK, clustering.Settings(restarts=2)
+        x.spark, x.star, x.scratch("models"), None,
+        supervised.Settings(trees=10, max_depth=6, cv_folds=2), clustering.Settings(restarts=2),
     )
     return x.spark.createDataFrame(
         [(

@@ -23,10 +23,15 @@ from haulmart.sources.schemas import DIMENSION_DDL, FACT_DDL, staging_schema, wa
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder of the cluster; a local one only where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="haulmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="haulmart-")
+    return _local_roots[application]
+
+
+_local_roots: dict[str, str] = {}
 
 
 @dataclass(frozen=True)
