@@ -22,6 +22,10 @@ DELAY_TOLERANCE_MINUTES = 15
 
 # Unicode white space, which Java's \s alone does not cover.
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 # Marks a word start inside a run of non-space characters.
 _WORD_MARK = "\u0001 "
@@ -33,7 +37,7 @@ def _text(value: Column) -> Column:
 
 def strip(value: Column) -> Column:
     """Drop white space of any kind from both ends."""
-    return F.regexp_replace(value, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(value, F.lit(_SPACES))
 
 
 def normalize_text(value: Column) -> Column:

@@ -68,6 +68,7 @@ class Verdict:
     judged: DataFrame
     landed: DataFrame
     key: Column
+    rules: tuple[Rule, ...]
     repeat: Repeat
     newest_first: bool
     hot_rows: int
@@ -113,9 +114,11 @@ class Verdict:
                 blank.name, blank.description, blank.payload,
             )
         )
-        verdict = (
-            F.when(F.col(_KEY) == "", nameless).when(after, repeated).otherwise(F.col(_OWN))
-        )
+        verdict = F.when(F.col(_KEY) == "", nameless).when(after, repeated)
+        for number, rule in enumerate(self.rules):
+            rule_pk = F.col(_KEY) if rule.pk is None else rule.pk
+            record = _record(rule_pk, rule.name, rule.description, rule.payload)
+            verdict = verdict.when(F.col(_OWN) == number, record)
         return (
             placed.filter((F.col(_KEY) == "") | after | F.col(_OWN).isNotNull())
             .select(verdict.alias("_verdict"))
@@ -138,20 +141,14 @@ def judge(
     ``landed`` is what ``rows`` was before lookups were joined to it: the same
     keys, cheaper to count.
     """
-    own = F.lit(None)
-    for rule in reversed(rules):
-        record = _record(
-            key if rule.pk is None else rule.pk, rule.name, rule.description, rule.payload
-        )
-        own = F.when(rule.failed, record).otherwise(own)
-    if not rules:
-        own = F.lit(None).cast(
-            "struct<source_pk:string,rule:string,description:string,raw_payload:string>"
-        )
+    # Only the number of the rule is kept; records are made for refused rows.
+    own = F.lit(None).cast("int")
+    for number, rule in reversed(list(enumerate(rules))):
+        own = F.when(rule.failed, F.lit(number)).otherwise(own)
     judged = rows.withColumns(
         {_KEY: key, _OWN: own, _POSITION: landing_order(*order)}
     )
     return Verdict(
-        judged, rows if landed is None else landed, key, repeat, newest_first, hot_rows,
+        judged, rows if landed is None else landed, key, tuple(rules), repeat, newest_first, hot_rows,
         tuple(rows.columns),
     )

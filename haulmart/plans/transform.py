@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from haulmart.functions import cleaning as c
 from haulmart.functions import derive as d
-from haulmart.operators.hotkeys import HOT_ROWS
+from haulmart.operators.hotkeys import HOT_ROWS, broadcast_if_small
 from haulmart.operators.ordered import before_each
 from haulmart.operators.verdict import Repeat, Rule, Verdict, judge
 
@@ -181,12 +181,10 @@ def delay_causes(staging: DataFrame, hot_rows: int = HOT_ROWS) -> Cleaned:
 
 def mark_known(rows: DataFrame, universe: DataFrame, code: str, natural: str, flag: str,
                *carry: str) -> DataFrame:
-    """Flag rows whose ``code`` exists in ``universe``; optionally carry columns.
-
-    The universe is never hinted: Spark broadcasts it when its measured size
-    allows and otherwise falls back to a sort-merge join that splits skew.
-    """
-    known = universe.select(F.col(natural).alias(code), *carry, F.lit(True).alias(flag))
+    """Flag rows whose ``code`` exists in ``universe``; optionally carry columns."""
+    known = broadcast_if_small(
+        universe.select(F.col(natural).alias(code), *carry, F.lit(True).alias(flag))
+    )
     return rows.join(known, code, "left").withColumn(
         flag, F.coalesce(F.col(flag), F.lit(False))
     )
