@@ -233,17 +233,21 @@ def judge(rows: DataFrame) -> DataFrame:
             F.struct("seen", *names).alias(f"at_{level}"),
         )
 
-    own, language, overall = at(0), at(1), at(2)
+    own, language = at(0), at(1)
+    # One row: the sketch of everything.
+    overall = table.filter(F.col("level") == 2).select("seen", *names).first()
+    of_all = F.struct(*[
+        F.lit(overall[c] if overall else None).cast(table.schema[c].dataType).alias(c)
+        for c in ("seen", *names)
+    ])
     enough = lambda level: F.when(
         F.col(f"at_{level}.seen") >= MIN_SKETCH, F.col(f"at_{level}")
     )
     chosen = (
         own.join(language, F.col("lang_0").eqNullSafe(F.col("lang_1")), "left")
-        # One row: the sketch of everything.
-        .join(F.broadcast(overall.select("at_2")), F.lit(True), "left")
         .select(
             F.col("lang_0"), F.col("source_0"),
-            F.coalesce(enough(0), enough(1), F.col("at_2")).alias("limits"),
+            F.coalesce(enough(0), enough(1), of_all).alias("limits"),
             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"),
         )
     )
