@@ -6,10 +6,12 @@ each letter of gap, so an insult with letters put in, left out or changed still
 shares most of its weight. Words are first freed of signs inside them, and
 letters spelled apart are put together.
 
-A sentence is as toxic as its worst word, and a text as its worst sentence, so
-training is of the multiple-instance kind: each toxic text of the sample lends
-its most telling word, every word of a harmless text is harmless, and the
-choice is repeated with the machine that it gave. In the feature space of the
+A sentence is as toxic as its worst word, so training is of the
+multiple-instance kind: each toxic text of the sample lends its most telling
+word, every word of a harmless text is harmless, and the choice is repeated
+with the machine that it gave. A text's score weighs its worst word, the share
+of its words that the machine takes for toxic, and its length; the weights are
+fitted on sampled texts that the machine has not seen. In the feature space of the
 landmarks the machine is linear, and since each landmark's kernel is a sum over
 subsequences, all of it folds into one weight for each subsequence: a table of
 constant size, whatever the corpus.
@@ -24,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from haulmart.llm.shared import keep
 
@@ -39,9 +41,9 @@ TOXIC_TEXTS = 4_000
 OTHER_TEXTS = 8_000
 TELLING_WORDS = 40
 HARMLESS_WORDS = 60_000
-LANDMARKS = 240
+LANDMARKS = 320
 ROUNDS = 4
-REGULAR = 1e-2
+REGULAR = 1e-4
 THRESHOLD = 0.3
 # Scored words that a worker remembers between batches.
 REMEMBERED = 800_000
@@ -149,7 +151,7 @@ class Model:
 
     weights: np.ndarray
     constant: float
-    scale: tuple[float, float, float]
+    scale: tuple[float, float, float, float]
 
     def of_words(self, row: list[str]) -> np.ndarray:
         """The machine's value of bare words; of long words the largest of their pieces'."""
@@ -165,14 +167,25 @@ class Model:
         starts = np.cumsum([0, *map(len, cut)])[:-1]
         return np.maximum.reduceat(values, starts) if len(values) else values
 
-    def scores(self, worst: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-        a, b, c = self.scale
-        return 1 / (1 + np.exp(-np.clip(a * worst + b * np.log1p(n_words) + c, -50, 50)))
+    def scores(self, worst: np.ndarray, toxic_words: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        value = _measures(worst, toxic_words, n_words) @ np.array(self.scale)
+        return 1 / (1 + np.exp(-np.clip(value, -50, 50)))
 
 
 NO_WORD = -2.0
 
 
+def _measures(worst: np.ndarray, toxic_words: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """What a text is judged by: worst word, toxic words in a hundred, length, and one."""
+    share = np.log1p(100 * toxic_words / np.maximum(n_words, 1))
+    return np.c_[np.clip(worst, NO_WORD, 2), share, np.log1p(n_words), np.ones(len(worst))]
+
+
+def toxic_part(values: np.ndarray) -> np.ndarray:
+    """How far the machine takes a word for toxic: its value, from 0 to 1."""
+    return np.clip(values, 0, 1)
+
+
 def _fold_in(landmarks: list[str], root: np.ndarray, w: np.ndarray) -> np.ndarray:
     """The weight of each subsequence: what the landmarks that hold it bring to the value."""
     alpha = root @ w[:-1]
@@ -182,13 +195,12 @@ def _fold_in(landmarks: list[str], root: np.ndarray, w: np.ndarray) -> np.ndarra
     return out.astype(np.float32)
 
 
-def _calibrated(worst: np.ndarray, n_words: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
-    """Logistic weights of the worst word's value, the logarithm of the length and one."""
-    x = np.c_[worst, np.log1p(n_words), np.ones(len(worst))]
-    w = np.zeros(3)
+def _calibrated(x: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
+    """Logistic weights of the measures."""
+    w = np.zeros(x.shape[1])
+    pull = 1e-2 * np.array([1, 1, 1, 0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        pull = 1e-2 * np.array([1, 1, 0])
         step = np.linalg.solve(
             (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull + 1e-6), x.T @ (p - toxic) + pull * w
         )
@@ -199,7 +211,7 @@ def _calibrated(worst: np.ndarray, n_words: np.ndarray, toxic: np.ndarray) -> tu
 
 
 def train(sample: DataFrame) -> Model:
-    """A model from rows (doc, toxic, word): the distinct bare words of sampled texts.
+    """A model from rows (doc, toxic, word, times): the bare words of sampled texts.
 
     A quarter of the texts is left for calibration. Only bounded numbers of
     words come to the driver. Without both classes every score is the share of
@@ -207,12 +219,12 @@ def train(sample: DataFrame) -> Model:
     """
     fold = F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(4)) == 0
     rows = sample.withColumn("calibrates", fold)
-    texts = rows.groupBy("doc", "toxic", "calibrates").agg(F.count("word").alias("n_words"))
+    texts = rows.groupBy("doc", "toxic", "calibrates").agg(F.sum("times").alias("n_words"))
     sizes = {r["toxic"]: r["n"] for r in texts.filter(~F.col("calibrates")).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_other:
         share = (n_toxic + 0.5) / (n_toxic + n_other + 1)
-        return Model(np.zeros(LETTERS**3, np.float32), 0.0, (0.0, 0.0, float(np.log(share / (1 - share)))))
+        return Model(np.zeros(LETTERS**3, np.float32), 0.0, (0.0, 0.0, 0.0, float(np.log(share / (1 - share)))))
 
     fit = rows.filter(~F.col("calibrates") & F.col("word").isNotNull())
     seen = fit.groupBy("word").agg(F.sum("toxic").alias("toxic_texts"), F.sum(1 - F.col("toxic")).alias("other_texts"))
@@ -249,7 +261,7 @@ def train(sample: DataFrame) -> Model:
         w = _machine(x, y, cost)
         value = toxic_x @ w[:-1]
         witness = [own[int(np.argmax(value[own]))] for own in inside]
-    model = Model(_fold_in(landmarks, root, w), float(w[-1]), (1.0, 0.0, 0.0))
+    model = Model(_fold_in(landmarks, root, w), float(w[-1]), (1.0, 0.0, 0.0, 0.0))
 
     def value_of(row: pd.Series) -> pd.Series:
         return pd.Series(model.of_words(row.tolist()))
@@ -257,22 +269,30 @@ def train(sample: DataFrame) -> Model:
     valued = rows.filter(F.col("calibrates") & F.col("word").isNotNull()).withColumn(
         "value", F.pandas_udf(value_of, DoubleType())("word")
     )
-    worst = valued.groupBy("doc").agg(F.max("value").alias("worst"))
+    part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), "value"))  # toxic_part
+    of_text = valued.groupBy("doc").agg(
+        F.max("value").alias("worst"), F.sum(part * F.col("times")).alias("toxic_words")
+    )
     held_back = (
-        texts.filter("calibrates").join(worst, "doc", "left")
-        .select("toxic", "n_words", F.coalesce("worst", F.lit(NO_WORD)).alias("worst")).toPandas()
+        texts.filter("calibrates").join(of_text, "doc", "left")
+        .select(
+            "toxic", F.coalesce("worst", F.lit(NO_WORD)).alias("worst"),
+            F.coalesce("toxic_words", F.lit(0.0)).alias("toxic_words"), "n_words",
+        ).toPandas()
     )
     if held_back["toxic"].nunique() < 2:
         return model
-    scale = _calibrated(*(held_back[c].to_numpy(float) for c in ("worst", "n_words", "toxic")))
+    x = _measures(*(held_back[c].to_numpy(float) for c in ("worst", "toxic_words", "n_words")))
+    scale = _calibrated(x, held_back["toxic"].to_numpy(float))
     return Model(model.weights, model.constant, scale)
 
 
 def sampled_words(docs: DataFrame, labels: DataFrame, toxic_texts: int, other_texts: int) -> DataFrame:
-    """(doc, toxic, word) of a bounded sample of labelled texts, first by a hash of doc_id.
+    """(doc, toxic, word, times) of a bounded sample of labelled texts, first by a hash of doc_id.
 
     Rows without a label, an id or a text are not drawn; of repeated labels of
-    an id the highest holds. A text without words has one row with word null.
+    an id the highest holds. A text without words has one row with word null and
+    ``times`` 0.
     """
     labelled = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic")
@@ -283,16 +303,16 @@ def sampled_words(docs: DataFrame, labels: DataFrame, toxic_texts: int, other_te
         drawn = own if drawn is None else drawn.unionByName(own)
     drawn = keep(drawn.select(F.col("doc_id").alias("doc"), "toxic"), "sample")
 
-    def distinct(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted({b for w in words(t) if (b := bare(w))}) for t in texts], dtype=object)
+    def bared(texts: pd.Series) -> pd.Series:
+        return pd.Series([[b for w in words(t) if (b := bare(w))] for t in texts], dtype=object)
 
     # Bounded by the number of texts drawn.
     met = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("doc")).filter("text is not null")
-    each = F.explode_outer(F.pandas_udf(distinct, ArrayType(StringType()))("text"))
-    return keep(met.select("doc", "toxic", each.alias("word")).distinct(), "sample_words")
+    each = F.explode_outer(F.pandas_udf(bared, ArrayType(StringType()))("text"))
+    counted = met.select("doc", "toxic", each.alias("word")).groupBy("doc", "toxic", "word")
+    return keep(counted.agg(F.count("word").alias("times")), "sample_words")
 
 
-_WORST = StructType([StructField("worst", DoubleType()), StructField("n_words", LongType())])
 _remembered: dict[int, dict[str, float]] = {}
 
 
@@ -308,15 +328,19 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def score(texts: pd.Series) -> pd.Series:
         own, known = shipped.value, _remembered.setdefault(number, {})
         cut = [words(t) for t in texts]
-        distinct = [set(row) for row in cut]
-        new = list({w for row in distinct for w in row if w not in known})
-        known.update(zip(new, own.of_words([bare(w) for w in new]).tolist()))
-        worst = np.array([max(map(known.__getitem__, row), default=NO_WORD) for row in distinct])
-        # Distinct bare words, as in training.
-        sizes = np.array([len(row) for row in distinct], float)
+        new = list({w for row in cut for w in row if w not in known})
+        bared = [bare(w) for w in new]
+        values = own.of_words(bared)
+        values[[not b for b in bared]] = np.nan
+        known.update(zip(new, values.tolist()))
+        measures = []
+        for row in cut:
+            values = np.fromiter(map(known.__getitem__, row), float, len(row))
+            values = values[~np.isnan(values)]
+            measures.append((values.max(initial=NO_WORD), toxic_part(values).sum(), len(values)))
         if len(known) > REMEMBERED:
             known.clear()
-        return pd.Series(own.scores(worst, sizes))
+        return pd.Series(own.scores(*np.array(measures, float).reshape(-1, 3).T))
 
     return docs.withColumn("score", F.pandas_udf(score, DoubleType())("text"))
 
