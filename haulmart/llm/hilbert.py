@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from haulmart.llm.shared import keep
+from haulmart.llm.shared import keep, whole_row
 
 # Cells of a dimension: 2 to this power.
 DEPTH = 4
@@ -100,15 +100,15 @@ def sorted_runs(docs: DataFrame, dimensions: dict[str, Column], depth: int = DEP
         "at", F.monotonically_increasing_id()
     )
     written = keep(numbered, "curve").withColumns({
-        "task": F.shiftrightunsigned("at", 33), "row": F.col("at").bitwiseAND((1 << 33) - 1),
+        "task": F.shiftrightunsigned("at", 33), "line": F.col("at").bitwiseAND((1 << 33) - 1),
     })
-    per_task = written.groupBy(F.col("task").alias("of")).agg(F.count(F.lit(1)).alias("rows"))
+    per_task = written.groupBy(F.col("task").alias("of")).agg(F.count(F.lit(1)).alias("lines"))
     before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_task.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    offsets = per_task.withColumn("before", F.coalesce(F.sum("lines").over(before), F.lit(0)))
     # One row per task of the exchange, whatever the data.
     return written.join(F.broadcast(offsets), F.col("task") == F.col("of")).withColumn(
-        "place", F.col("before") + F.col("row")
-    ).drop("at", "task", "row", "of", "rows", "before")
+        "place", F.col("before") + F.col("line")
+    ).drop("at", "task", "line", "of", "lines", "before")
 
 
 def cut(placed: DataFrame, total: int, shards: int) -> DataFrame:
@@ -122,19 +122,20 @@ def cut(placed: DataFrame, total: int, shards: int) -> DataFrame:
 
 
 def sharded(docs: DataFrame, shards: int = 8, depth: int = DEPTH) -> DataFrame:
-    """All columns of ``docs``, its text_crc32, size and place on the curve, shard and slot.
+    """(row, doc_id, size, text_crc32, curve, place, shard, slot) of every row of ``docs``.
 
-    Dimensions are language, source, size and doc_id. Size is the text's UTF-8
+    ``row`` is the input row with all its columns. Dimensions are language, source, size and doc_id. Size is the text's UTF-8
     bytes plus one; a null text has none and checksum zero. Repeated rows keep
     a slot each. The law is ``rows``: shard counts differ by one at most.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns({
-        "size": F.octet_length(text).cast("long") + 1,
-        "text_crc32": F.crc32(text.cast("binary")),
-    })
+    rows = docs.select(
+        whole_row(docs), "doc_id",
+        (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
     dimensions = {
-        "lang": order_of(F.col("lang")), "source": order_of(F.col("source")),
+        "lang": order_of(F.col("row.lang")), "source": order_of(F.col("row.source")),
         "size": F.col("size"), "doc": F.col("doc_id"),
     }
     placed = sorted_runs(rows, dimensions, depth)
@@ -142,5 +143,9 @@ def sharded(docs: DataFrame, shards: int = 8, depth: int = DEPTH) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
-    """The documents as Parquet, a folder per shard, files in the order of the curve."""
-    sharded(docs, shards).select(*docs.columns, "shard", "slot").write.partitionBy("shard").parquet(path)
+    """The documents as Parquet, a folder per shard, files in the order of the curve.
+
+    A column of the documents named shard or slot gives way to the new one.
+    """
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    sharded(docs, shards).select(*own, "shard", "slot").write.partitionBy("shard").parquet(path)

@@ -307,7 +307,7 @@ def sampled_words(docs: DataFrame, labels: DataFrame, toxic_texts: int, other_te
         return pd.Series([[b for w in words(t) if (b := bare(w))] for t in texts], dtype=object)
 
     # Bounded by the number of texts drawn.
-    met = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("doc")).filter("text is not null")
+    met = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("doc")).filter("text is not null")
     each = F.explode_outer(F.pandas_udf(bared, ArrayType(StringType()))("text"))
     counted = met.select("doc", "toxic", each.alias("word")).groupBy("doc", "toxic", "word")
     return keep(counted.agg(F.count("word").alias("times")), "sample_words")
