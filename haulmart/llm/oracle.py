@@ -1,3 +1,109 @@
-"""The same results in plain SQL, where SQL can express them."""
+"""The same results in plain SQL, where SQL can express them.
 
-ORACLE_SQL: dict[str, str] = {}
+Fingerprints, tokenizers, kernels, keyed surrogates, alignments and the curve
+are beyond it; the tests hold those queries against brute force.
+"""
+
+from __future__ import annotations
+
+_FENCES = """
+    ('word_length', 100, FALSE), ('word_length', 100, TRUE), ('symbol_share', 100, FALSE),
+    ('line_share', 500, FALSE), ('repeat_share', 200, FALSE)
+"""
+
+_QUALITY = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents
+), w AS (
+    SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM d
+), trigram AS (
+    SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+    FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+), repeated AS (
+    SELECT r, unnest([i, i + 1, i + 2]) AS p
+    FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM trigram) WHERE n > 1
+), covered AS (
+    SELECT r, count(DISTINCT p) AS n FROM repeated GROUP BY r
+), counts AS (
+    SELECT d.r, doc_id, lang, source, len(words) AS n_words,
+        CAST(coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS BIGINT) AS word_chars,
+        length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+        len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        coalesce(covered.n, 0) AS n_repeat_words
+    FROM d JOIN w USING (r) LEFT JOIN covered USING (r)
+), measured AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+        word_chars * 100 // greatest(n_words, 1) AS word_length,
+        n_symbols * 1000 // greatest(n_words, 1) AS symbol_share,
+        n_dup_lines * 1000 // greatest(n_lines, 1) AS line_share,
+        n_repeat_words * 1000 // greatest(n_words, 1) AS repeat_share
+    FROM counts
+), long AS (
+    UNPIVOT (SELECT r, lang, source, base_failed, word_length, symbol_share, line_share, repeat_share FROM measured)
+    ON word_length, symbol_share, line_share, repeat_share INTO NAME measure VALUE v
+), binned AS (
+    SELECT lang, source, measure, count(*) AS n,
+        CASE WHEN v < 64 THEN v
+            ELSE (length(bin(v)) - 6) * 32 + (v >> (length(bin(v)) - 6)) END AS b
+    FROM long WHERE NOT base_failed GROUP BY lang, source, measure, b
+), merged AS (
+    SELECT 0 AS level, lang, source, measure, b, n FROM binned
+    UNION ALL SELECT 1, lang, NULL, measure, b, sum(n) FROM binned GROUP BY lang, measure, b
+    UNION ALL SELECT 2, NULL, NULL, measure, b, sum(n) FROM binned GROUP BY measure, b
+), ranked AS (
+    SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY b) AS upto,
+        sum(n) OVER (PARTITION BY level, lang, source, measure) AS total
+    FROM merged
+), quartile AS (
+    SELECT level, lang, source, measure, max(total) AS seen,
+        min(CASE WHEN 4 * upto >= total THEN b END) AS b1,
+        min(CASE WHEN 4 * upto >= 3 * total THEN b END) AS b3
+    FROM ranked GROUP BY level, lang, source, measure
+), numbers AS (
+    SELECT level, lang, source, measure, seen,
+        CASE WHEN b1 < 64 THEN b1 ELSE ((b1 - (b1 // 32 - 1) * 32 + 1) << CAST(b1 // 32 - 1 AS INTEGER)) - 1 END AS q1,
+        CASE WHEN b3 < 64 THEN b3 ELSE ((b3 - (b3 // 32 - 1) * 32 + 1) << CAST(b3 // 32 - 1 AS INTEGER)) - 1 END AS q3
+    FROM quartile
+), chosen AS (
+    SELECT r, x.measure, v, arg_min(q1, level) AS q1, arg_min(q3, level) AS q3
+    FROM long x JOIN numbers q ON x.measure = q.measure AND (q.seen >= 200 OR q.level = 2)
+        AND (q.level = 2 OR x.lang IS NOT DISTINCT FROM q.lang)
+        AND (q.level > 0 OR x.source IS NOT DISTINCT FROM q.source)
+    GROUP BY r, x.measure, v
+), broken AS (
+    SELECT DISTINCT r FROM chosen JOIN (VALUES {_FENCES}) f(measure, slack, below) USING (measure)
+    WHERE CASE WHEN below THEN v < q1 - 3 * (q3 - q1) - slack ELSE v > q3 + 3 * (q3 - q1) + slack END
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND r NOT IN (SELECT r FROM broken) AS kept
+FROM measured
+"""
+
+_CHAT = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, t) AS k,
+        2 * length(t) - length(translate(t, '~<[>', '')) AS inner_chars,
+        CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+            ELSE 9 + 2 * length(role) - length(translate(role, '~<[>', '')) END AS mark_chars
+    FROM said
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || t || chr(10), '' ORDER BY k) AS told,
+        coalesce(string_agg(t, '' ORDER BY k) FILTER (role = 'assistant'), '') AS loss,
+        CAST(sum(inner_chars + mark_chars) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_chars,
+    sha256(loss) AS loss_sha256, formatted_chars
+FROM whole
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": _QUALITY,
+    "op8_chat_formatting": _CHAT,
+}

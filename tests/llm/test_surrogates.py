@@ -1,0 +1,87 @@
+import re
+
+import pytest
+
+from haulmart.llm import surrogates
+
+TEXTS = [
+    "Mail anna.lee.42@mail3.example.com or ANNA.LEE.42@MAIL3.EXAMPLE.COM, call +1 (017) 555-7713 or +1-017-555-7713.",
+    "again: anna.lee.42@mail3.example.com, bob@mail3.example.com; server 192.168.10.254, not version 1.2.3",
+    "card 4539 1488 0343 6467 and 4539148803436467, other 4929348385146306!",
+    'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" ssn 123-45-6789 iban DE89 3704 0044 0532 0130 00',
+    "Mrs Anna Wolf met Mr. Peter Wolf and Frau Wolf; Dr Kim left. г-жа Иванова, κυρία Παππα",
+    "nothing here in 2024, 10 000 items at 3.5", None, "",
+]
+
+
+def out_of(docs):
+    rows, chosen = surrogates.replaced(docs)
+    return (
+        {r.doc_id: (r.text, r.n_entities) for r in rows.selectExpr("row.doc_id", "text", "n_entities").collect()},
+        {(r.kind, r.value): r.chosen for r in chosen.collect()},
+    )
+
+
+@pytest.fixture(scope="module")
+def found(docs_of):
+    return out_of(docs_of(TEXTS))
+
+
+def test_entities_go_and_formats_stay(found):
+    texts, _ = found
+    for gone in ("anna.lee", "ANNA.LEE", "mail3", "555-7713", "192.168.10.254", "4539", "04dbebab", "123-45", "3704", "Wolf", "Иванова", "Παππα"):
+        assert not any(gone in (t or "") for t, _ in texts.values())
+    assert re.search(r"call \+1 \(\d{3}\) \d{3}-\d{4} or \+1-\d{3}-\d{3}-\d{4}\.$", texts[0][0])
+    assert re.search(r"ssn \d{3}-\d\d-\d{4} iban DE\w\w( \w{4}){4} \w\w$", texts[3][0])
+    assert re.search(r'"[0-9a-f]{40}"', texts[3][0]) and "version 1.2.3" in texts[1][0]
+    assert texts[5] == (TEXTS[5], 0) and texts[6] == (None, 0) and texts[7] == ("", 0)
+
+
+def test_mentions_of_one_entity_agree(found):
+    texts, _ = found
+    mails = re.findall(r"[\w.]+@[\w.]+\w", texts[0][0])
+    assert mails[0] == mails[1].lower() and mails[1].isupper() and mails[0] in texts[1][0]
+    assert len({m.split("@")[1].lower() for m in mails + re.findall(r"[\w.]+@[\w.]+\w", texts[1][0])}) == 1
+    digits = [re.sub(r"\D", "", m) for m in re.findall(r"\+1[^a-z,.]+\d", texts[0][0])]
+    assert digits[0] == digits[1]
+    cards = re.findall(r"\d[\d ]{14,18}\d", texts[2][0])
+    assert cards[0].replace(" ", "") == cards[1] != cards[2]
+    assert surrogates._luhn(cards[1]) and surrogates._luhn(cards[2]) == surrogates._luhn("4929348385146306")
+
+
+def test_names_keep_gender_script_and_family(found):
+    text = found[0][4][0]
+    names = re.match(r"Mrs (\w+) (\w+) met Mr\. (\w+) (\w+) and Frau (\w+); Dr (\w+) left\. г-жа (\w+), κυρία (\w+)", text).groups()
+    assert names[0].endswith("na") and names[2].endswith("ron") and names[1] == names[3] == names[4] != names[5]
+    assert re.fullmatch(r"[А-Я][а-я]+", names[6]) and re.fullmatch(r"[Α-Ω][α-ως]+", names[7])
+
+
+def test_surrogates_are_distinct_and_no_entities(spark):
+    # Few values, so first draws must collide with each other and with entities.
+    known = spark.createDataFrame([("ssn", f"{i:03d}") for i in range(0, 1000, 3)], "kind string, value string")
+    rows = surrogates.assign(known).collect()
+    assert len(rows) == 334 and len({r.chosen for r in rows}) == 334
+    assert not {r.chosen for r in rows} & {r.value for r in rows}
+
+
+def test_a_full_format_is_refused(spark):
+    known = spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, value string")
+    with pytest.raises(ValueError):
+        surrogates.assign(known)
+
+
+def test_another_key_gives_other_surrogates(docs_of, found):
+    other = surrogates.with_surrogates(docs_of(TEXTS), key="other").collect()
+    assert {r.doc_id: r.text for r in other}[0] != found[0][0][0]
+
+
+def test_odd_rows(docs_of, odd_rows):
+    rows = [*odd_rows, (20, "me@home.org " * 3000, "en", "s"), (20, "me@home.org", None, None), (None, "1.2.3.4", "en", "s")]
+    docs = docs_of(rows, clashing=True)
+    out = surrogates.with_surrogates(docs)
+    assert out.columns == docs.columns and out.count() == len(rows)
+    for r in out.collect():
+        assert r.n_chars == len(r.text or "") and "home.org" not in (r.text or "") and r.text != "1.2.3.4"
+    untouched = sorted((r[1] or "") for r in odd_rows)
+    assert untouched == sorted((r.text or "") for r in out.collect() if "@" not in (r.text or "") and not re.fullmatch(r"[\d.]+", r.text or ""))
+    assert surrogates.with_surrogates(docs.limit(0)).count() == 0
