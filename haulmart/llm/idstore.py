@@ -52,7 +52,12 @@ class WordEncoder:
     """Whole texts encoded by a tokenizer that drops white space, word by word.
 
     White space always ends a word and leaves no id, so a text's ids are those
-    of its words in a row, and a word is given to the tokenizer once.
+    of its words in a row, and a word is given to the tokenizer once. So does
+    the end of letters before a sign, which parts "word," from its comma.
+
+    Words of letters only are one unit of the vocabulary's merges, whose last id
+    is marked as a word's end; many of them are encoded in one call and cut
+    there.
     """
 
     def __init__(self, path: str) -> None:
@@ -61,17 +66,44 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary do not fit 16 bits")
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._words: dict[str, bytes] = {}
 
+    def _one_by_one(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        made = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        for word, ids in zip(words, made):
+            yield word, np.array(ids.ids, WIDTH).tobytes()
+
+    def _together(self, words: list[str]) -> Iterable[tuple[str, bytes]]:
+        made = self._tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(made.ids, WIDTH)
+        ends = (np.flatnonzero(self._ends[ids]) + 1) * WIDTH.itemsize
+        if len(ends) != len(words):
+            # Some word is several units once it is normalised.
+            return self._one_by_one(words)
+        data, cuts = ids.tobytes(), [0, *ends.tolist()]
+        return zip(words, (data[a:b] for a, b in zip(cuts, cuts[1:])))
+
+    def _learn(self, new: set[str]) -> None:
+        words = self._words
+        tailed = [w for w in new if w[-1] in ".,!?;:" and w[:-1].isalpha()]
+        new = new.difference(tailed)
+        new.update(part for w in tailed for part in (w[:-1], w[-1]) if part not in words)
+        plain = [w for w in new if w.isalpha()]
+        for at in range(0, len(plain), 4096):
+            words.update(self._together(plain[at : at + 4096]))
+        mixed = [w for w in new if not w.isalpha()]
+        for at in range(0, len(mixed), 4096):
+            words.update(self._one_by_one(mixed[at : at + 4096]))
+        for word in tailed:
+            words[word] = words[word[:-1]] + words[word[-1]]
+
     def payloads(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").split() for t in texts]
         words = self._words
-        new = list({w for row in cut for w in row if w not in words})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            made = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, ids in zip(part, made):
-                words[word] = np.array(ids.ids, WIDTH).tobytes()
+        self._learn({w for row in cut for w in row if w not in words})
         end = np.array([END_ID], WIDTH).tobytes()
         out = [b"".join([*map(words.__getitem__, row), end]) for row in cut]
         if len(words) > REMEMBERED:
