@@ -283,7 +283,7 @@ def numbered_copies(ids: DataFrame) -> DataFrame:
     )
     if twice.isEmpty():
         return ids.withColumn("copy", F.lit(0).cast("long"))
-    rank = Window.partitionBy("doc_id").orderBy(*[c for c in ids.columns if c != "doc_id"])
+    rank = Window.partitionBy("doc_id").orderBy(*ids.columns)
     mine = F.col("doc_id").eqNullSafe(F.col("of"))
     repeated = ids.join(twice, mine, "left_semi").withColumn("copy", F.row_number().over(rank).cast("long") - 1)
     return ids.join(twice, mine, "left_anti").withColumn("copy", F.lit(0).cast("long")).unionByName(repeated)

@@ -16,7 +16,7 @@ WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents
 ), w AS (
     SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
-        list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM d
 ), trigram AS (
     SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
@@ -28,7 +28,7 @@ WITH d AS (
     SELECT r, count(DISTINCT p) AS n FROM repeated GROUP BY r
 ), counts AS (
     SELECT d.r, doc_id, lang, source, len(words) AS n_words,
-        CAST(coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
         coalesce(covered.n, 0) AS n_repeat_words

@@ -2,37 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_folders: dict[str, str] = {}
+from haulmart.sources.store import application_folder
 
 
 def folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a session on one machine may do without the setting; it then gets a
-    temporary folder. On a cluster a missing setting is an error, since each
-    executor would write to a disk of its own.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local[") and master != "local":
-        raise ValueError(f"spark.checkpoint.dir must name a shared folder under {master}")
-    return _own_folders.setdefault(
-        spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="corpus-")
-    )
+    """Where this application keeps its tables, below ``spark.checkpoint.dir``."""
+    return f"{application_folder(spark)}/corpus"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; no two calls give the same."""
-    app = spark.sparkContext.applicationId
-    return f"{folder(spark)}/corpus-{app}/{name}-{uuid.uuid4().hex}"
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def keep(rows: DataFrame, name: str) -> DataFrame:
@@ -49,9 +34,7 @@ def keep(rows: DataFrame, name: str) -> DataFrame:
 def clear(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application; results read from them end."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{folder(spark)}/corpus-{spark.sparkContext.applicationId}"
-    )
+    path = jvm.org.apache.hadoop.fs.Path(folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

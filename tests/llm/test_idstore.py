@@ -17,7 +17,8 @@ TEXTS = [
 
 def brute(rows):
     out, start = [], 0
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")
+    for doc_id, text, *_ in sorted(rows, key=order):
         ids = TOKENIZER.encode(text or "", add_special_tokens=False).ids + [2]
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)

@@ -80,7 +80,8 @@ def test_banded_alignment_equals_the_whole_table():
         k = leaks.edit_budget(len(passage))
         width = 2 * (k + 1) + 2 * k
         region = edited(rng, passage.decode(), rng.randrange(2 * k)).encode()
-        region = (b"q" * rng.randrange(k + 1) + region).ljust(len(passage) + width, b"q")[: len(passage) + width]
+        # As in a search, the region begins k letters before the band's first diagonal.
+        region = (b"q" * (k + rng.randrange(k + 1)) + region).ljust(len(passage) + width, b"q")[: len(passage) + width]
         got = int(leaks.aligned(passage, np.frombuffer(region, np.uint8)[None, :], k)[0])
         want = brute_distance(passage, region)
         assert got == want if want <= k else got > k

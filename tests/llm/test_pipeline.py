@@ -3,9 +3,9 @@ import random
 import corpus_pipeline
 import sentencepiece
 from haulmart.llm import leaks, pieces
-from test_leaks import brute_distance
-from test_quality import brute as brute_counts
-from test_simhash import brute_components, brute_print
+from tests.llm.test_leaks import brute_distance
+from tests.llm.test_quality import brute as brute_counts
+from tests.llm.test_simhash import brute_components, brute_print
 
 
 def corpus(rng):
