@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,13 +27,40 @@ TIME_BAND_STARTS = (
 )
 
 
-def instant(at: dt.datetime, like: T.DataType) -> Column:
-    """A driver-side instant in the timestamp type of the column it meets."""
+def instant(at: dt.datetime, like: T.DataType, zone: str | None = None) -> Column:
+    """A driver-side instant in the timestamp type of the column it meets.
+
+    Against a zone-free column it is the wall clock in ``zone``; without one,
+    ``at`` is taken to be that wall clock already.
+    """
     if isinstance(like, T.TimestampNTZType):
+        if zone is not None:
+            at = at.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
         return F.lit(at.isoformat(sep=" ")).cast(like)
     return F.lit(at)
 
 
+def moment_in(wall: Column, zone: str) -> Column:
+    """The instant at which a clock in ``zone`` shows a zone-free timestamp.
+
+    The session's own zone takes no part in it.
+    """
+    return F.make_timestamp_ltz(
+        F.year(wall), F.month(wall), F.dayofmonth(wall), F.hour(wall), F.minute(wall),
+        F.date_part(F.lit("SECOND"), wall), F.lit(zone),
+    )
+
+
+def wall_clock(moment: Column, kind: T.DataType, zone: str) -> Column:
+    """What a clock in ``zone`` shows; zone-free timestamps and dates are that already."""
+    if not isinstance(kind, T.TimestampType):
+        return moment
+    seconds = (F.unix_micros(moment).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    universal = epoch + F.make_dt_interval(secs=seconds)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), universal)
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds; interval arithmetic, so no time zone is involved."""
     return (end - start).cast("interval second").cast("decimal(20,6)")

@@ -30,21 +30,6 @@ def hot_keys(rows: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> list[str
     return [r["_key"] for r in counted.collect()]
 
 
-# Rows of a narrow lookup that any executor can hold.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the lookup is small.
-
-    Spark overestimates what comes out of a window, so it would shuffle the
-    facts for a lookup of a few hundred rows. A larger lookup is left unhinted
-    and joins by sort-merge, where Spark splits skewed partitions itself.
-    """
-    small = lookup.limit(rows + 1).count() <= rows
-    return F.broadcast(lookup) if small else lookup
-
-
 def key_table(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """The given keys as a frame small enough to broadcast by construction."""
     frame = rows.sparkSession.createDataFrame([(k,) for k in keys], f"{name} string")

@@ -54,10 +54,16 @@ def _within(
     carried = ends.withColumn(
         "_carried", carry.running("_end").over(before.orderBy(*level))
     ).drop("_end")
+    # Order values may be null, and a bucket of null ones is a bucket like any other.
+    names = [*group, *level]
+    carried = carried.select(*[F.col(n).alias(f"_of_{n}") for n in names], "_carried")
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_of_{n}"))
     return (
-        inner.join(carried, group + level)
+        inner.join(carried, same)
         .withColumn(out, carry.combine(F.col(out), F.col("_carried")))
-        .drop("_carried")
+        .drop("_carried", *[f"_of_{n}" for n in names])
     )
 
 
@@ -73,7 +79,7 @@ def before_each(
 ) -> DataFrame:
     """Last (or highest) non-null ``value`` of the rows before each row of its group.
 
-    ``order`` must be free of nulls and identify the row. Groups of ordinary
+    ``order`` identifies the row; nulls in it come first. Groups of ordinary
     size use one window. A group over ``hot_rows`` is cut along ``buckets``,
     a list of nested levels each given as named expressions that follow
     ``order``: every bucket is worked on its own and the value before it comes

@@ -7,19 +7,21 @@ after it is a duplicate, whatever else may be wrong with it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulmart.functions.render import snapshot
-from haulmart.operators.hotkeys import HOT_ROWS, hot_keys, join_per_key
 
 _KEY = "_key"
 _OWN = "_own"
 _POSITION = "_position"
 
+# Writes rows under a name and reads them back.
+Keep = Callable[[DataFrame, str], DataFrame]
+
 REJECT_COLUMNS = ("source_pk", "rule", "description", "raw_payload")
 
 
@@ -66,13 +68,15 @@ class Verdict:
     """Landed rows with their natural key, own fault and landing position."""
 
     judged: DataFrame
-    landed: DataFrame
-    key: Column
     rules: tuple[Rule, ...]
     repeat: Repeat
     newest_first: bool
-    hot_rows: int
     columns: tuple[str, ...]
+    keep: Keep | None = None
+
+    def settled(self, keep: Keep) -> Verdict:
+        """The same verdict over judged rows that are written once, lookups and all."""
+        return replace(self, judged=keep(self.judged, "judged"), keep=keep)
 
     def accepted(self) -> DataFrame:
         """One row per natural key: the first acceptable one.
@@ -92,13 +96,19 @@ class Verdict:
         """Every refused row with the rule that refused it."""
         acceptable = F.when(F.col(_OWN).isNull(), F.col(_POSITION))
         first = F.max(acceptable) if self.newest_first else F.min(acceptable)
-        per_key = (
+        # Only a key with several rows can have a row after its winner. Most
+        # keys have one, so what meets the rows again is small; both sides come
+        # from files, so Spark may split a key that very many rows share.
+        repeated_keys = (
             self.judged.filter(F.col(_KEY) != "")
-            .groupBy(_KEY)
-            .agg(first.alias("_winner"))
+            .groupBy(F.col(_KEY).alias("_of"))
+            .agg(first.alias("_winner"), F.count(F.lit(1)).alias("_rows"))
+            .filter(F.col("_rows") > 1)
+            .drop("_rows")
         )
-        hot = hot_keys(self.landed, self.key, self.hot_rows)
-        placed = join_per_key(self.judged, per_key, _KEY, [F.col(_POSITION)], hot)
+        if self.keep is not None:
+            repeated_keys = self.keep(repeated_keys, "repeated_keys")
+        placed = self.judged.join(repeated_keys, F.col(_KEY) == F.col("_of"), "left")
         position, winner = F.col(_POSITION), F.col("_winner")
         after = F.coalesce(
             position < winner if self.newest_first else position > winner, F.lit(False)
@@ -133,14 +143,8 @@ def judge(
     repeat: Repeat,
     order: Sequence[str] = ("extracted_at", "id"),
     newest_first: bool = True,
-    hot_rows: int = HOT_ROWS,
-    landed: DataFrame | None = None,
 ) -> Verdict:
-    """Attach natural key, first failing rule and landing position to ``rows``.
-
-    ``landed`` is what ``rows`` was before lookups were joined to it: the same
-    keys, cheaper to count.
-    """
+    """Attach natural key, first failing rule and landing position to ``rows``."""
     # Only the number of the rule is kept; records are made for refused rows.
     own = F.lit(None).cast("int")
     for number, rule in reversed(list(enumerate(rules))):
@@ -148,7 +152,4 @@ def judge(
     judged = rows.withColumns(
         {_KEY: key, _OWN: own, _POSITION: landing_order(*order)}
     )
-    return Verdict(
-        judged, rows if landed is None else landed, key, tuple(rules), repeat, newest_first, hot_rows,
-        tuple(rows.columns),
-    )
+    return Verdict(judged, tuple(rules), repeat, newest_first, tuple(rows.columns))

@@ -129,14 +129,16 @@ def previous_load(fuel_loads: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Odometer of the vehicle's previous active load, strictly earlier in time.
 
     Of several loads at the previous instant the one with the highest id
-    counts. Vehicles of ordinary size take one range window; a vehicle over
+    counts. A load without a time has no earlier load and is none itself.
+    Vehicles of ordinary size take one range window; a vehicle over
     ``hot_rows`` is reduced to one row per instant first, and those are carried
     forward minute by minute.
     """
     known = fuel_loads.withColumn("_vehicle", F.col("vehicle_id").cast("string"))
     hot = hot_keys(known, F.col("_vehicle"), hot_rows)
     reading = F.struct("load_datetime", "id", "odometer_km")
-    active = F.when(F.col("is_active"), reading)
+    timed = F.col("load_datetime").isNotNull()
+    active = F.when(F.col("is_active") & timed, reading)
 
     micros = F.unix_micros(F.col("load_datetime").cast("timestamp"))
     earlier = (
@@ -144,7 +146,7 @@ def previous_load(fuel_loads: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         .rangeBetween(Window.unboundedPreceding, -1)
     )
     columns = [*fuel_loads.columns, "previous_odometer_km"]
-    latest = F.max(active).over(earlier)["odometer_km"]
+    latest = F.when(timed, F.max(active).over(earlier)["odometer_km"])
     if not hot:
         return known.withColumn("previous_odometer_km", latest).select(*columns)
 
@@ -159,7 +161,8 @@ def previous_load(fuel_loads: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         ({"_minute": F.date_format("load_datetime", "yyyyMMddHHmm")},),
         "previous_odometer_km", hot_rows=0,
     ).drop("_at_instant")
-    split = crowded.join(carried, ["_vehicle", "load_datetime"])
+    # Loads without a time stay, with nothing to carry to them.
+    split = crowded.join(carried.filter(timed), ["_vehicle", "load_datetime"], "left")
     return cold.select(*columns).unionByName(split.select(*columns))
 
 

@@ -276,8 +276,8 @@ def delay_causes_pareto(star: Star, period: Period = ALL) -> DataFrame:
     ).orderBy(F.col("total").desc(), "cause")
 
 
-def cost_by_vehicle(star: Star, limit: int = 15, period: Period = ALL) -> DataFrame:
-    """Fuel plus maintenance of every vehicle, also of those without any."""
+def cost_by_vehicle(star: Star, limit: int | None = 15, period: Period = ALL) -> DataFrame:
+    """Fuel plus maintenance, also of vehicles without any; all of them, unordered, without a limit."""
 
     def per_vehicle(fact: str, name: str) -> DataFrame:
         return scope(star[fact], period).groupBy(F.col("vehicle_id").alias("vehicle_key")).agg(
@@ -291,15 +291,14 @@ def cost_by_vehicle(star: Star, limit: int = 15, period: Period = ALL) -> DataFr
     )
     fuel = F.coalesce(F.col("fuel"), F.lit(0)).cast("decimal(20,2)")
     maintenance = F.coalesce(F.col("maintenance"), F.lit(0)).cast("decimal(20,2)")
-    return (
-        costs.select(
-            "economic_number", "plate", "vehicle_type", "age_range",
-            fuel.alias("fuel_cost"), maintenance.alias("maintenance_cost"),
-            (fuel + maintenance).alias("total_cost"),
-        )
-        .orderBy(F.col("total_cost").desc(), "plate")
-        .limit(limit)
-    )
+    totals = costs.select(
+        "economic_number", "plate", "vehicle_type", "age_range",
+        fuel.alias("fuel_cost"), maintenance.alias("maintenance_cost"),
+        (fuel + maintenance).alias("total_cost"),
+    )
+    if limit is None:
+        return totals
+    return totals.orderBy(F.col("total_cost").desc(), "plate").limit(limit)
 
 
 def efficiency_by_vehicle(star: Star, limit: int = 15, period: Period = ALL) -> DataFrame:

@@ -23,7 +23,8 @@ MODES = ("incremental", "full", "rebuild")
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now()
+    """An instant with its zone, so that no driver's clock setting enters."""
+    return dt.datetime.now(dt.timezone.utc)
 
 
 @dataclass
@@ -40,6 +41,7 @@ class Run:
     as_of: dt.date
     since: dt.datetime | None = None
     hot_rows: int = HOT_ROWS
+    zone: str = "UTC"
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     pending: list[tuple] = field(default_factory=list)
 
@@ -83,20 +85,25 @@ class Run:
 
     def extract(self, sources: Mapping[str, DataFrame]) -> dict[str, int]:
         counts, resume, at = {}, self.watermark(), _now()
-        for table in SOURCES:
-            with self.phase("EXTRACT", table) as tally:
-                rows = land(sources, table, self.run_id, at, resume)
-                self.store.land(table, rows, self.full)
-                landed = self.store.staging(table).filter(F.col("run_id") == self.run_id)
-                tally.read = tally.written = landed.count()
-            counts[table] = tally.written
-        self.flush()
+        try:
+            for table in SOURCES:
+                with self.phase("EXTRACT", table) as tally:
+                    rows = land(sources, table, self.run_id, at, resume, self.zone)
+                    self.store.land(table, rows, self.full)
+                    landed = self.store.staging(table).filter(F.col("run_id") == self.run_id)
+                    tally.read = tally.written = landed.count()
+                counts[table] = tally.written
+        finally:
+            self.flush()
         return counts
 
     def _settle(self, group: str, cleaned: transform.Cleaned, table: str) -> DataFrame:
         """Write one clean table and its rejects; count what was written."""
         with self.phase("TRANSFORM", table) as tally:
-            tally.read = self.store.staging(table).count()
+            cleaned = cleaned.settled(
+                lambda rows, name: self.store.work(self.run_id, f"{group}_{name}", rows)
+            )
+            tally.read = cleaned.verdict.judged.count()
             rows = self.store.work(self.run_id, group, cleaned.rows)
             tally.written = rows.count()
             rejected = self.store.work(
@@ -116,13 +123,16 @@ class Run:
     def transform(self) -> dict[str, DataFrame]:
         staging = {table: self.store.staging(table) for table in SOURCES}
         groups: dict[str, DataFrame] = {}
-        for group, cleaned in transform.clean_dimensions(
-            staging, self.as_of, self.hot_rows
-        ).items():
-            groups[group] = self._settle(group, cleaned, transform.SOURCE_OF[group])
-        for group, cleaned in transform.clean_facts(staging, groups, self.hot_rows).items():
-            groups[group] = self._settle(group, cleaned, transform.SOURCE_OF[group])
-        self.flush()
+        try:
+            for group, cleaned in transform.clean_dimensions(staging, self.as_of).items():
+                groups[group] = self._settle(group, cleaned, transform.SOURCE_OF[group])
+            for group, cleaned in transform.clean_facts(
+                staging, groups, self.hot_rows, zone=self.zone
+            ).items():
+                groups[group] = self._settle(group, cleaned, transform.SOURCE_OF[group])
+        finally:
+            # What failed is logged too; the run ends with the error itself.
+            self.flush()
         return groups
 
     def load(self, groups: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -212,13 +222,18 @@ def run_etl(
     mode: str = "incremental",
     since: dt.datetime | None = None,
     hot_rows: int = HOT_ROWS,
+    zone: str = "UTC",
 ) -> Summary:
     """Run the three phases against a warehouse directory.
 
+    ``zone`` is where the business is: zone-free source times are taken to be
+    its wall clock, and dates and hours of the warehouse are those of its clock,
+    whatever zone the session has.
+
     ``incremental`` appends what changed since the last run, ``full`` lands
     everything again, ``rebuild`` also empties facts and dimensions first.
     """
-    run = Run(Store(spark, root), mode, as_of, since, hot_rows)
+    run = Run(Store(spark, root), mode, as_of, since, hot_rows, zone)
     extracted = run.extract(sources)
     groups = run.transform()
     loaded = run.load(groups)

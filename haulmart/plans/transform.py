@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from haulmart.functions import cleaning as c
 from haulmart.functions import derive as d
-from haulmart.operators.hotkeys import HOT_ROWS, broadcast_if_small
+from haulmart.operators.hotkeys import HOT_ROWS
 from haulmart.operators.ordered import before_each
-from haulmart.operators.verdict import Repeat, Rule, Verdict, judge
+from haulmart.operators.verdict import Keep, Repeat, Rule, Verdict, judge
 
 FAR_FUTURE = "9999-12-31 00:00:00"
 
@@ -23,13 +23,21 @@ FAR_FUTURE = "9999-12-31 00:00:00"
 class Cleaned:
     """Outcome of one table: rows for the warehouse and rows for quarantine."""
 
-    rows: DataFrame
+    project: Callable[[Verdict], DataFrame]
     verdict: Verdict
 
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self.project(self.verdict)
+
     @cached_property
     def rejected(self) -> DataFrame:
         return self.verdict.rejected()
 
+    def settled(self, keep: Keep) -> Cleaned:
+        """The same outcome read from judged rows that are written once."""
+        return replace(self, verdict=self.verdict.settled(keep))
+
 
 def _missing(description: str, payload: tuple[str, ...], *required: str) -> Rule:
     """Values the derivations cannot do without; refused instead of failing the run."""
@@ -39,7 +47,7 @@ def _missing(description: str, payload: tuple[str, ...], *required: str) -> Rule
     return Rule("missing_required", absent, description, payload)
 
 
-def customers(staging: DataFrame, hot_rows: int = HOT_ROWS) -> Cleaned:
+def customers(staging: DataFrame) -> Cleaned:
     payload = ("code", "business_name")
     verdict = judge(
         staging,
@@ -53,21 +61,22 @@ def customers(staging: DataFrame, hot_rows: int = HOT_ROWS) -> Cleaned:
                 pk=F.col("source_id"),
             ),
         ),
-        hot_rows=hot_rows,
     )
     text = c.normalize_text
-    rows = verdict.accepted().select(
-        c.normalize_code(F.col("code")).alias("code"),
-        text(F.col("business_name")).alias("business_name"),
-        c.normalize_code(F.col("tax_id")).alias("tax_id"),
-        c.default_if_blank(text(F.col("city"))).alias("city"),
-        c.default_if_blank(text(F.col("state"))).alias("state"),
-        c.code_or(F.col("customer_type"), "REGULAR").alias("customer_type"),
-    )
+    def rows(judged: Verdict) -> DataFrame:
+        return judged.accepted().select(
+            c.normalize_code(F.col("code")).alias("code"),
+            text(F.col("business_name")).alias("business_name"),
+            c.normalize_code(F.col("tax_id")).alias("tax_id"),
+            c.default_if_blank(text(F.col("city"))).alias("city"),
+            c.default_if_blank(text(F.col("state"))).alias("state"),
+            c.code_or(F.col("customer_type"), "REGULAR").alias("customer_type"),
+        )
+
     return Cleaned(rows, verdict)
 
 
-def vehicles(staging: DataFrame, as_of: dt.date, hot_rows: int = HOT_ROWS) -> Cleaned:
+def vehicles(staging: DataFrame, as_of: dt.date) -> Cleaned:
     verdict = judge(
         staging,
         c.normalize_plate(F.col("plate")),
@@ -79,22 +88,23 @@ def vehicles(staging: DataFrame, as_of: dt.date, hot_rows: int = HOT_ROWS) -> Cl
             )
         ],
         Repeat("Placa vacía o repetida.", ("plate",), pk=F.col("plate")),
-        hot_rows=hot_rows,
-    )
-    rows = verdict.accepted().select(
-        c.normalize_plate(F.col("plate")).alias("plate"),
-        c.normalize_code(F.col("economic_number")).alias("economic_number"),
-        c.normalize_text(F.col("brand")).alias("brand"),
-        c.normalize_text(F.col("model")).alias("model"),
-        F.col("year").cast("int").alias("year"),
-        c.normalize_code(F.col("vehicle_type")).alias("vehicle_type"),
-        c.age_range(F.col("year"), as_of.year).alias("age_range"),
-        c.capacity_range(F.col("cargo_capacity_kg")).alias("capacity_range"),
     )
+    def rows(judged: Verdict) -> DataFrame:
+        return judged.accepted().select(
+            c.normalize_plate(F.col("plate")).alias("plate"),
+            c.normalize_code(F.col("economic_number")).alias("economic_number"),
+            c.normalize_text(F.col("brand")).alias("brand"),
+            c.normalize_text(F.col("model")).alias("model"),
+            F.col("year").cast("int").alias("year"),
+            c.normalize_code(F.col("vehicle_type")).alias("vehicle_type"),
+            c.age_range(F.col("year"), as_of.year).alias("age_range"),
+            c.capacity_range(F.col("cargo_capacity_kg")).alias("capacity_range"),
+        )
+
     return Cleaned(rows, verdict)
 
 
-def operators(staging: DataFrame, as_of: dt.date, hot_rows: int = HOT_ROWS) -> Cleaned:
+def operators(staging: DataFrame, as_of: dt.date) -> Cleaned:
     verdict = judge(
         staging,
         c.normalize_code(F.col("employee_number")),
@@ -108,20 +118,21 @@ def operators(staging: DataFrame, as_of: dt.date, hot_rows: int = HOT_ROWS) -> C
             ("employee_number",),
             pk=F.col("employee_number"),
         ),
-        hot_rows=hot_rows,
-    )
-    rows = verdict.accepted().select(
-        c.normalize_code(F.col("employee_number")).alias("employee_number"),
-        c.normalize_text(d.full_name(F.col("first_name"), F.col("last_name"))).alias(
-            "full_name"
-        ),
-        c.code_or(F.col("license_type"), "C").alias("license_type"),
-        c.seniority_range(F.col("hire_date"), as_of).alias("seniority_range"),
     )
+    def rows(judged: Verdict) -> DataFrame:
+        return judged.accepted().select(
+            c.normalize_code(F.col("employee_number")).alias("employee_number"),
+            c.normalize_text(d.full_name(F.col("first_name"), F.col("last_name"))).alias(
+                "full_name"
+            ),
+            c.code_or(F.col("license_type"), "C").alias("license_type"),
+            c.seniority_range(F.col("hire_date"), as_of).alias("seniority_range"),
+        )
+
     return Cleaned(rows, verdict)
 
 
-def routes(staging: DataFrame, hot_rows: int = HOT_ROWS) -> Cleaned:
+def routes(staging: DataFrame) -> Cleaned:
     verdict = judge(
         staging,
         c.normalize_code(F.col("code")),
@@ -134,19 +145,20 @@ def routes(staging: DataFrame, hot_rows: int = HOT_ROWS) -> Cleaned:
             )
         ],
         Repeat("Código de ruta vacío o repetido.", ("code",), pk=F.col("code")),
-        hot_rows=hot_rows,
     )
     text = c.normalize_text
-    rows = verdict.accepted().select(
-        c.normalize_code(F.col("code")).alias("code"),
-        text(F.col("name")).alias("name"),
-        c.default_if_blank(text(F.col("origin_city"))).alias("origin_city"),
-        c.default_if_blank(text(F.col("destination_city"))).alias("destination_city"),
-        F.col("distance_km"),
-        c.distance_range(F.col("distance_km")).alias("distance_range"),
-        c.normalize_code(F.col("route_type")).alias("route_type"),
-        c.code_or(F.col("zone"), c.UNZONED).alias("zone"),
-    )
+    def rows(judged: Verdict) -> DataFrame:
+        return judged.accepted().select(
+            c.normalize_code(F.col("code")).alias("code"),
+            text(F.col("name")).alias("name"),
+            c.default_if_blank(text(F.col("origin_city"))).alias("origin_city"),
+            c.default_if_blank(text(F.col("destination_city"))).alias("destination_city"),
+            F.col("distance_km"),
+            c.distance_range(F.col("distance_km")).alias("distance_range"),
+            c.normalize_code(F.col("route_type")).alias("route_type"),
+            c.code_or(F.col("zone"), c.UNZONED).alias("zone"),
+        )
+
     return Cleaned(rows, verdict)
 
 
@@ -157,10 +169,12 @@ def with_unspecified(causes: DataFrame) -> DataFrame:
         F.lit("No Especificada").alias("name"),
         F.lit("EXTERNA").alias("category"),
     )
-    return causes.unionByName(marker.join(causes, "code", "left_anti"))
+    # At most one row is looked up; the catalogue itself is not moved.
+    listed = causes.filter(F.col("code") == c.UNSPECIFIED_CAUSE).select("code").limit(1)
+    return causes.unionByName(marker.join(listed, "code", "left_anti"))
 
 
-def delay_causes(staging: DataFrame, hot_rows: int = HOT_ROWS) -> Cleaned:
+def delay_causes(staging: DataFrame) -> Cleaned:
     verdict = judge(
         staging,
         c.normalize_code(F.col("code")),
@@ -169,22 +183,25 @@ def delay_causes(staging: DataFrame, hot_rows: int = HOT_ROWS) -> Cleaned:
             "Clave natural repetida; se conserva el registro más reciente.",
             ("code", "name"),
         ),
-        hot_rows=hot_rows,
     )
-    rows = verdict.accepted().select(
-        c.normalize_code(F.col("code")).alias("code"),
-        c.normalize_text(F.col("name")).alias("name"),
-        c.code_or(F.col("category"), "EXTERNA").alias("category"),
-    )
-    return Cleaned(with_unspecified(rows), verdict)
+    def rows(judged: Verdict) -> DataFrame:
+        return judged.accepted().select(
+            c.normalize_code(F.col("code")).alias("code"),
+            c.normalize_text(F.col("name")).alias("name"),
+            c.code_or(F.col("category"), "EXTERNA").alias("category"),
+        )
+
+    return Cleaned(lambda judged: with_unspecified(rows(judged)), verdict)
 
 
 def mark_known(rows: DataFrame, universe: DataFrame, code: str, natural: str, flag: str,
                *carry: str) -> DataFrame:
-    """Flag rows whose ``code`` exists in ``universe``; optionally carry columns."""
-    known = broadcast_if_small(
-        universe.select(F.col(natural).alias(code), *carry, F.lit(True).alias(flag))
-    )
+    """Flag rows whose ``code`` exists in ``universe``; optionally carry columns.
+
+    Spark chooses the join by the real size of the universe, which a run has
+    written before; a row without a code takes no part in the match.
+    """
+    known = universe.select(F.col(natural).alias(code), *carry, F.lit(True).alias(flag))
     return rows.join(known, code, "left").withColumn(
         flag, F.coalesce(F.col(flag), F.lit(False))
     )
@@ -203,8 +220,9 @@ def deliveries(
     operators: DataFrame,
     causes: DataFrame,
     order: tuple[str, ...] = ("extracted_at", "id"),
-    hot_rows: int = HOT_ROWS,
+    zone: str = "UTC",
 ) -> Cleaned:
+    """Deliveries; calendar keys are those of a clock in ``zone``."""
     keyed = staging.withColumns(
         {
             "_customer": c.normalize_code(F.col("customer_code")),
@@ -261,8 +279,6 @@ def deliveries(
         ],
         Repeat("Folio vacío o repetido.", payload),
         order=order,
-        hot_rows=hot_rows,
-        landed=staging,
     )
     delay = d.delay_minutes(F.col("scheduled_arrival"), F.col("actual_arrival"))
     late = d.is_delayed(delay)
@@ -270,27 +286,31 @@ def deliveries(
         late == 1,
         F.when(F.col("_has_cause"), F.col("_cause")).otherwise(F.lit(c.UNSPECIFIED_CAUSE)),
     )
-    rows = verdict.accepted().select(
-        c.normalize_code(F.col("folio")).alias("folio"),
-        F.col("_customer").alias("customer_code"),
-        F.col("_route").alias("route_code"),
-        F.col("_plate").alias("vehicle_plate"),
-        F.col("_operator").alias("operator_number"),
-        cause.alias("delay_cause_code"),
-        d.date_key(F.col("scheduled_departure")).alias("date_key"),
-        d.time_key(F.col("scheduled_departure")).alias("time_key"),
-        F.col("cargo_weight_kg"),
-        F.coalesce(F.col("packages_count"), F.lit(0)).alias("packages_count"),
-        F.col("freight_cost"),
-        d.minutes(F.col("scheduled_departure"), F.col("scheduled_arrival")).alias(
-            "planned_duration_min"
-        ),
-        d.minutes(departure, F.col("actual_arrival")).alias("actual_duration_min"),
-        delay.alias("delay_minutes"),
-        late.alias("is_delayed"),
-        F.col("_distance").alias("distance_km"),
-        d.cost_per_km(F.col("freight_cost"), F.col("_distance")).alias("cost_per_km"),
-    )
+    def rows(judged: Verdict) -> DataFrame:
+        kind = staging.schema["scheduled_departure"].dataType
+        planned = d.wall_clock(F.col("scheduled_departure"), kind, zone)
+        return judged.accepted().select(
+            c.normalize_code(F.col("folio")).alias("folio"),
+            F.col("_customer").alias("customer_code"),
+            F.col("_route").alias("route_code"),
+            F.col("_plate").alias("vehicle_plate"),
+            F.col("_operator").alias("operator_number"),
+            cause.alias("delay_cause_code"),
+            d.date_key(planned).alias("date_key"),
+            d.time_key(planned).alias("time_key"),
+            F.col("cargo_weight_kg"),
+            F.coalesce(F.col("packages_count"), F.lit(0)).alias("packages_count"),
+            F.col("freight_cost"),
+            d.minutes(F.col("scheduled_departure"), F.col("scheduled_arrival")).alias(
+                "planned_duration_min"
+            ),
+            d.minutes(departure, F.col("actual_arrival")).alias("actual_duration_min"),
+            delay.alias("delay_minutes"),
+            late.alias("is_delayed"),
+            F.col("_distance").alias("distance_km"),
+            d.cost_per_km(F.col("freight_cost"), F.col("_distance")).alias("cost_per_km"),
+        )
+
     return Cleaned(rows, verdict)
 
 
@@ -332,7 +352,9 @@ def fuel_loads(
     vehicles: DataFrame,
     operators: DataFrame,
     hot_rows: int = HOT_ROWS,
+    zone: str = "UTC",
 ) -> Cleaned:
+    """Fuel loads; calendar keys are those of a clock in ``zone``."""
     chained = odometer_chain(staging, hot_rows).withColumns(
         {
             "_operator": c.normalize_code(F.col("operator_number")),
@@ -371,26 +393,29 @@ def fuel_loads(
         Repeat("Folio vacío o repetido.", payload),
         order=("vehicle_plate", "load_datetime", "id"),
         newest_first=False,
-        hot_rows=hot_rows,
-        landed=staging,
-    )
-    rows = verdict.accepted().select(
-        c.normalize_code(F.col("folio")).alias("folio"),
-        F.col("_plate").alias("vehicle_plate"),
-        F.col("_operator").alias("operator_number"),
-        d.date_key(F.col("load_datetime")).alias("date_key"),
-        d.time_key(F.col("load_datetime")).alias("time_key"),
-        F.col("liters"),
-        F.col("price_per_liter"),
-        F.col("total_cost"),
-        F.col("_travelled").alias("km_traveled"),
-        F.col("_efficiency").alias("efficiency_km_per_liter"),
     )
+    kind = staging.schema["load_datetime"].dataType
+    loaded = d.wall_clock(F.col("load_datetime"), kind, zone)
+
+    def rows(judged: Verdict) -> DataFrame:
+        return judged.accepted().select(
+            c.normalize_code(F.col("folio")).alias("folio"),
+            F.col("_plate").alias("vehicle_plate"),
+            F.col("_operator").alias("operator_number"),
+            d.date_key(loaded).alias("date_key"),
+            d.time_key(loaded).alias("time_key"),
+            F.col("liters"),
+            F.col("price_per_liter"),
+            F.col("total_cost"),
+            F.col("_travelled").alias("km_traveled"),
+            F.col("_efficiency").alias("efficiency_km_per_liter"),
+        )
+
     return Cleaned(rows, verdict)
 
 
 def maintenances(
-    staging: DataFrame, vehicles: DataFrame, hot_rows: int = HOT_ROWS
+    staging: DataFrame, vehicles: DataFrame
 ) -> Cleaned:
     checked = mark_known(
         staging.withColumn("_plate", c.normalize_plate(F.col("vehicle_plate"))),
@@ -412,20 +437,20 @@ def maintenances(
             _missing("Falta la fecha de servicio.", payload, "service_date"),
         ],
         Repeat("Folio vacío o repetido.", payload),
-        hot_rows=hot_rows,
-        landed=staging,
-    )
-    rows = verdict.accepted().select(
-        c.normalize_code(F.col("folio")).alias("folio"),
-        F.col("_plate").alias("vehicle_plate"),
-        d.date_key(F.col("service_date")).alias("date_key"),
-        c.normalize_code(F.col("maintenance_type")).alias("maintenance_type"),
-        F.col("labor_cost"),
-        F.col("parts_cost"),
-        F.col("total_cost"),
-        F.coalesce(F.col("days_out_of_service"), F.lit(0)).alias("days_out_of_service"),
-        F.col("odometer_km"),
     )
+    def rows(judged: Verdict) -> DataFrame:
+        return judged.accepted().select(
+            c.normalize_code(F.col("folio")).alias("folio"),
+            F.col("_plate").alias("vehicle_plate"),
+            d.date_key(F.col("service_date")).alias("date_key"),
+            c.normalize_code(F.col("maintenance_type")).alias("maintenance_type"),
+            F.col("labor_cost"),
+            F.col("parts_cost"),
+            F.col("total_cost"),
+            F.coalesce(F.col("days_out_of_service"), F.lit(0)).alias("days_out_of_service"),
+            F.col("odometer_km"),
+        )
+
     return Cleaned(rows, verdict)
 
 
@@ -443,14 +468,14 @@ SOURCE_OF = {
 
 
 def clean_dimensions(
-    staging: Mapping[str, DataFrame], as_of: dt.date, hot_rows: int = HOT_ROWS
+    staging: Mapping[str, DataFrame], as_of: dt.date
 ) -> dict[str, Cleaned]:
     return {
-        "customers": customers(staging["stg_customer"], hot_rows),
-        "vehicles": vehicles(staging["stg_vehicle"], as_of, hot_rows),
-        "operators": operators(staging["stg_operator"], as_of, hot_rows),
-        "routes": routes(staging["stg_route"], hot_rows),
-        "delay_causes": delay_causes(staging["stg_delay_cause"], hot_rows),
+        "customers": customers(staging["stg_customer"]),
+        "vehicles": vehicles(staging["stg_vehicle"], as_of),
+        "operators": operators(staging["stg_operator"], as_of),
+        "routes": routes(staging["stg_route"]),
+        "delay_causes": delay_causes(staging["stg_delay_cause"]),
     }
 
 
@@ -459,16 +484,15 @@ def clean_facts(
     dims: Mapping[str, DataFrame],
     hot_rows: int = HOT_ROWS,
     delivery_order: tuple[str, ...] = ("extracted_at", "id"),
+    zone: str = "UTC",
 ) -> dict[str, Cleaned]:
     return {
         "deliveries": deliveries(
             staging["stg_delivery"], dims["customers"], dims["routes"], dims["vehicles"],
-            dims["operators"], dims["delay_causes"], delivery_order, hot_rows,
+            dims["operators"], dims["delay_causes"], delivery_order, zone,
         ),
         "fuel_loads": fuel_loads(
-            staging["stg_fuel_load"], dims["vehicles"], dims["operators"], hot_rows
-        ),
-        "maintenances": maintenances(
-            staging["stg_maintenance"], dims["vehicles"], hot_rows
+            staging["stg_fuel_load"], dims["vehicles"], dims["operators"], hot_rows, zone
         ),
+        "maintenances": maintenances(staging["stg_maintenance"], dims["vehicles"]),
     }

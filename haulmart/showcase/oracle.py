@@ -345,17 +345,17 @@ _LANDING = {
     "lnd_delivery": """
 SELECT d.*, c.code AS customer_code, r.code AS route_code, v.plate AS vehicle_plate,
   o.employee_number AS operator_number, x.code AS delay_cause_code
-FROM src_delivery d JOIN src_customer c ON c.id = d.customer_id
-JOIN src_route r ON r.id = d.route_id JOIN src_vehicle v ON v.id = d.vehicle_id
-JOIN src_operator o ON o.id = d.operator_id LEFT JOIN src_delay_cause x ON x.id = d.delay_cause_id
+FROM src_delivery d LEFT JOIN src_customer c ON c.id = d.customer_id
+LEFT JOIN src_route r ON r.id = d.route_id LEFT JOIN src_vehicle v ON v.id = d.vehicle_id
+LEFT JOIN src_operator o ON o.id = d.operator_id LEFT JOIN src_delay_cause x ON x.id = d.delay_cause_id
 """,
     "lnd_fuel_load": """
 SELECT f.*, v.plate AS vehicle_plate, o.employee_number AS operator_number
-FROM src_fuel_load f JOIN src_vehicle v ON v.id = f.vehicle_id
-JOIN src_operator o ON o.id = f.operator_id
+FROM src_fuel_load f LEFT JOIN src_vehicle v ON v.id = f.vehicle_id
+LEFT JOIN src_operator o ON o.id = f.operator_id
 """,
     "lnd_maintenance": """
-SELECT m.*, v.plate AS vehicle_plate FROM src_maintenance m JOIN src_vehicle v ON v.id = m.vehicle_id
+SELECT m.*, v.plate AS vehicle_plate FROM src_maintenance m LEFT JOIN src_vehicle v ON v.id = m.vehicle_id
 """,
 }
 _LOADED = {}

@@ -171,9 +171,9 @@ FROM (SELECT *, min(CASE WHEN NOT done AND odometer_km >= met THEN pos END)
 """
 
 
-def _completions(x: Context):
+def _completions(x: Context, **options):
     return changes.apply_completions(
-        x.view("ev_completion"), x.src["maintenance"], x.src["vehicle"], AT
+        x.view("ev_completion"), x.src["maintenance"], x.src["vehicle"], AT, **options
     )
 
 
@@ -207,6 +207,13 @@ def _(x: Context):
     return _completions(x).refused
 
 
+@query("b02_completions_split", "event_id i, folio s, reason s",
+       f"SELECT event_id, folio, reason FROM ({COMPLETIONS}) v WHERE reason IS NOT NULL")
+def _(x: Context):
+    """The way of crowded vehicles, taken for all of them."""
+    return _completions(x, hot_rows=1).refused
+
+
 @query("b03_soft_delete", "id i, is_active s, updated_at i", f"""
 SELECT id, is_active AND NOT gone AS is_active,
   epoch_us(CASE WHEN gone THEN {NOW} ELSE updated_at END) AS updated_at

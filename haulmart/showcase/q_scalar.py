@@ -127,6 +127,19 @@ def _(x: Context):
     )
 
 
+@query("f16_business_zone", "event_id i, date_key i, time_key i",
+       f"SELECT event_id, {o.date_key('local')} AS date_key, hour(local) AS time_key FROM ("
+       "SELECT event_id, timezone('America/Mexico_City', timezone('UTC', CAST(ts AS TIMESTAMP))) "
+       "AS local FROM events) e")
+def _(x: Context):
+    """Instants by the clock of the business, whatever the session's zone."""
+    events = x.table("events").select("event_id", d.moment_in(col("ts"), "UTC").alias("ts"))
+    local = d.wall_clock(col("ts"), events.schema["ts"].dataType, "America/Mexico_City")
+    return events.select(
+        "event_id", d.date_key(local).alias("date_key"), d.time_key(local).alias("time_key")
+    )
+
+
 @query("f17_delivery_measures",
        "folio s, planned i, actual i, delay i, is_delayed i",
        "SELECT folio, planned_duration_min AS planned, actual_duration_min AS actual, "

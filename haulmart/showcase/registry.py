@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
@@ -10,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmart.plans import transform
-from haulmart.plans.load import DIMENSIONS, FACTS
-from haulmart.plans.run import Summary, run_etl
-from haulmart.plans.star import Star, star_table
+from haulmart.plans.run import Run, Summary, run_etl
+from haulmart.plans.star import Star
 from haulmart.showcase import lens, oracle
-from haulmart.sources.store import Store, scratch_root
+from haulmart.sources.extract import SOURCES, zoned
+from haulmart.sources.schemas import staging_schema
+from haulmart.sources.store import Store, application_folder
 
 AS_OF = dt.date(2026, 8, 16)
 
@@ -22,7 +24,7 @@ AS_OF = dt.date(2026, 8, 16)
 _SPARK_TYPES = {"s": "string", "i": "bigint", "d": "double"}
 _SQL_TYPES = {"s": "VARCHAR", "i": "BIGINT", "d": "DOUBLE"}
 
-_warehouses: dict[tuple[str, str], tuple[Store, Summary]] = {}
+_warehouses: dict[tuple[str, str, str], tuple[Store, Summary]] = {}
 
 
 _SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
@@ -61,7 +63,6 @@ class Context:
         )
         self.stg = Lazy(self.lens.__getitem__, [n for n in lens.LENS if n.startswith("stg_")])
         self.cleaned = Lazy(self._clean, transform.SOURCE_OF)
-        self.star = Star(Lazy(self._member, [*[d.table for d in DIMENSIONS], *FACTS]))
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -107,23 +108,39 @@ class Context:
             case _:
                 return transform.maintenances(landed, rows("vehicles"))
 
-    def _member(self, table: str) -> DataFrame:
-        group = FACTS[table][0] if table in FACTS else next(
-            d.group for d in DIMENSIONS if d.table == table
-        )
-        return star_table(table, self.rows(group))
+    @property
+    def star(self) -> Star:
+        """The stored star over the landing tables, which reports read."""
+        return Star.from_store(self.landed_warehouse())
+
+    def landed_warehouse(self) -> Store:
+        """A warehouse transformed and loaded from the landing tables, once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, "landed")
+        if key not in _warehouses:
+            store = Store(self.spark, self.scratch("landed-" + re.sub(r"\W+", "-", self.sf_dir)))
+            run = Run(store, "rebuild", AS_OF)
+            for table in SOURCES:
+                rows = zoned(self.stg[table].withColumn("run_id", F.lit(run.run_id)), run.zone)
+                typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in staging_schema(table)]
+                store.land(table, rows.select(*typed), full=True)
+            loaded = run.load(run.transform())
+            _warehouses[key] = (store, Summary(run.run_id, {}, loaded, store.errors().count()))
+        return _warehouses[key][0]
 
     def rows(self, group: str) -> DataFrame:
         return self.cleaned[group].rows
 
     def scratch(self, name: str) -> str:
-        return f"{scratch_root(self.spark)}/{self.spark.sparkContext.applicationId}/{name}"
+        return f"{application_folder(self.spark)}/{name}"
 
-    def warehouse(self) -> tuple[Store, Summary]:
-        """A warehouse loaded from the operational tables, once per session."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+    def warehouse(self, name: str = "warehouse") -> tuple[Store, Summary]:
+        """A warehouse loaded from the operational tables, once per session and name.
+
+        A query that goes on to change its warehouse names one of its own.
+        """
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _warehouses:
-            root = self.scratch("warehouse-" + self.sf_dir.strip("/").replace("/", "-"))
+            root = self.scratch(f"{name}-" + re.sub(r"\W+", "-", self.sf_dir))
             summary = run_etl(self.spark, self.src, root, AS_OF, "rebuild")
             _warehouses[key] = (Store(self.spark, root), summary)
         return _warehouses[key]

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from haulmart.functions.derive import instant
+from haulmart.functions.derive import instant, moment_in
 from haulmart.sources.schemas import staging_columns
 
 # Source table of every landing table.
@@ -24,12 +25,12 @@ SOURCES = {
 }
 
 # Foreign keys resolved while landing: (id column, source table, its natural
-# key, landing column, join type).
-_CUSTOMER = ("customer_id", "customer", "code", "customer_code", "inner")
-_ROUTE = ("route_id", "route", "code", "route_code", "inner")
-_VEHICLE = ("vehicle_id", "vehicle", "plate", "vehicle_plate", "inner")
-_OPERATOR = ("operator_id", "operator", "employee_number", "operator_number", "inner")
-_CAUSE = ("delay_cause_id", "delay_cause", "code", "delay_cause_code", "left")
+# key, landing column).
+_CUSTOMER = ("customer_id", "customer", "code", "customer_code")
+_ROUTE = ("route_id", "route", "code", "route_code")
+_VEHICLE = ("vehicle_id", "vehicle", "plate", "vehicle_plate")
+_OPERATOR = ("operator_id", "operator", "employee_number", "operator_number")
+_CAUSE = ("delay_cause_id", "delay_cause", "code", "delay_cause_code")
 REFERENCES = {
     "stg_delivery": (_CUSTOMER, _ROUTE, _VEHICLE, _OPERATOR, _CAUSE),
     "stg_fuel_load": (_VEHICLE, _OPERATOR),
@@ -37,22 +38,34 @@ REFERENCES = {
 }
 
 
-def changed_since(source: DataFrame, watermark: dt.datetime | None) -> DataFrame:
+def changed_since(
+    source: DataFrame, watermark: dt.datetime | None, zone: str | None = None
+) -> DataFrame:
     """Rows updated strictly after the watermark; all rows without one."""
     if watermark is None:
         return source
     return source.filter(
-        F.col("updated_at") > instant(watermark, source.schema["updated_at"].dataType)
+        F.col("updated_at") > instant(watermark, source.schema["updated_at"].dataType, zone)
     )
 
 
+def zoned(rows: DataFrame, zone: str) -> DataFrame:
+    """Zone-free timestamps as the instants they name in ``zone``."""
+    free = [f.name for f in rows.schema if isinstance(f.dataType, T.TimestampNTZType)]
+    return rows.withColumns({name: moment_in(F.col(name), zone) for name in free})
+
+
 def denormalise(rows: DataFrame, sources: Mapping[str, DataFrame], table: str) -> DataFrame:
-    """Replace each foreign id by the natural key it points to."""
-    for id_column, target, natural, landed, how in REFERENCES.get(table, ()):
+    """Replace each foreign id by the natural key it points to.
+
+    A lake enforces no foreign keys: a row whose id finds no partner lands with
+    a null key, for the cleaning to refuse and record.
+    """
+    for id_column, target, natural, landed in REFERENCES.get(table, ()):
         lookup = sources[target].select(
             F.col("id").alias(id_column), F.col(natural).alias(landed)
         )
-        rows = rows.join(lookup, id_column, how)
+        rows = rows.join(lookup, id_column, "left")
     return rows
 
 
@@ -72,14 +85,20 @@ def land(
     run_id: str,
     extracted_at: dt.datetime,
     watermark: dt.datetime | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """The rows one extract adds to a landing table.
 
+    With a ``zone``, zone-free times of the source land as instants.
+
     The source id doubles as the landing position within the run: it is unique
     there, and rows of a later run are newer by ``extracted_at``.
     """
-    rows = denormalise(changed_since(sources[SOURCES[table]], watermark), sources, table)
-    return stamp(rows, table, run_id, extracted_at).withColumn("id", F.col("source_id"))
+    changed = changed_since(sources[SOURCES[table]], watermark, zone)
+    rows = stamp(denormalise(changed, sources, table), table, run_id, extracted_at)
+    if zone is not None:
+        rows = zoned(rows, zone)
+    return rows.withColumn("id", F.col("source_id"))
 
 
 def watermark(etl_log: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ only ever gain rows, so a version is the list of runs since the last rebuild.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,17 +20,31 @@ from haulmart.sources.schemas import DIMENSION_DDL, FACT_DDL, staging_schema, wa
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster; a local one only where none is set."""
+    """The cluster's shared folder, named by ``spark.checkpoint.dir``.
+
+    Only a session on one machine may do without the setting. Elsewhere each
+    executor would write to a disk of its own, so a missing one is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    application = spark.sparkContext.applicationId
-    if application not in _local_roots:
-        _local_roots[application] = tempfile.mkdtemp(prefix="haulmart-")
-    return _local_roots[application]
+    context = spark.sparkContext
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder under {context.master}")
+    return f"file://{context._jvm.System.getProperty('java.io.tmpdir')}/haulmart"
+
+
+def application_folder(spark: SparkSession) -> str:
+    """A folder of this application below the scratch root, deleted when it ends."""
+    context = spark.sparkContext
+    folder = f"{scratch_root(spark)}/{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
-_local_roots: dict[str, str] = {}
+# Tasks that the rows of one month are dealt to.
+MONTH_FILES = 64
 
 
 @dataclass(frozen=True)
@@ -50,19 +63,27 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _commits(self) -> DataFrame:
+        return self._read("commits", f"{self.root}/commits/*")
+
     def committed(self) -> list[str]:
         """Runs of the visible version, oldest first; one small row per run."""
-        commits = self._read("commits", f"{self.root}/commits")
+        commits = self._commits()
         runs = commits.orderBy("seq").collect()
         start = max((i for i, r in enumerate(runs) if r.rebuilt), default=0)
         return [r.run_id for r in runs[start:]]
 
     def commit(self, run_id: str, rebuilt: bool, at: dt.datetime) -> None:
-        """Publish a run: a single-file append, complete or absent."""
-        last = self._read("commits", f"{self.root}/commits").agg(F.max("seq")).first()[0]
+        """Publish a run: a folder of its own number, complete or absent.
+
+        Two runs that take the same number write the same folder, and the
+        second is refused, so a version has one author.
+        """
+        last = self._commits().agg(F.max("seq")).first()[0]
+        seq = (last or 0) + 1
         self.spark.createDataFrame(
-            [((last or 0) + 1, run_id, rebuilt, at)], warehouse_schema("commits")
-        ).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+            [(seq, run_id, rebuilt, at)], warehouse_schema("commits")
+        ).coalesce(1).write.mode("error").parquet(f"{self.root}/commits/{seq:012d}")
 
     def staging(self, table: str) -> DataFrame:
         return self._read(table, f"{self.root}/staging/{table}")
@@ -89,9 +110,12 @@ class Store:
         target = warehouse_schema(table)
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
         if table in FACT_DDL:
-            # Sorted files let date filters skip row groups; the range exchange
-            # samples sizes, so a hot month is spread over several tasks.
-            typed = typed.repartitionByRange("date_id", "folio").sortWithinPartitions("date_id")
+            # A month lies in a bounded number of files, sorted by date, which lets
+            # date filters skip row groups; a hot month is still many tasks' work.
+            month = F.floor(F.col("date_id") / 100)
+            typed = typed.repartition(
+                month, F.pmod(F.hash("folio"), F.lit(MONTH_FILES))
+            ).sortWithinPartitions("date_id")
         typed.write.mode("overwrite").parquet(f"{self.root}/{table}/run={run_id}")
 
     def work(self, run_id: str, name: str, rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from haulmart.plans.run import Run, run_etl
 from haulmart.plans.load import LoadError
 from haulmart.plans.star import Star
 from haulmart.sources import catalogue
-from haulmart.sources.schemas import DIMENSION_DDL, FACT_DDL, schema
+from haulmart.sources.schemas import DIMENSION_DDL, FACT_DDL, schema, warehouse_schema
 from haulmart.sources.store import Store
 from tests.fleet import sources
 
@@ -102,6 +102,66 @@ def test_failed_load_leaves_the_old_version(spark, loaded):
     assert [(r.table_name, r.status) for r in rows] == [("(fase completa)", "FAILED")]
 
 
+def test_a_failed_extract_is_logged(spark, tmp_path):
+    broken = sources(spark)
+    broken["delivery"] = broken["delivery"].withColumn(
+        "folio", F.raise_error(F.lit("unreadable")).cast("string"))
+    run = Run(Store(spark, str(tmp_path)), "full", AS_OF)
+    with pytest.raises(Exception, match="unreadable"):
+        run.extract(broken)
+    logged = run.store.log().collect()
+    assert [r.status for r in sorted(logged, key=lambda r: r.started_at)] == ["SUCCESS"] * 5 + ["FAILED"]
+    assert {r.table_name for r in logged if r.status == "FAILED"} == {"stg_delivery"}
+
+
+def test_dangling_ids_land_and_are_refused(spark, tmp_path):
+    lake = sources(spark)
+    lake["delivery"] = lake["delivery"].withColumn(
+        "customer_id", F.when(F.col("folio") == "ENT-BOUND-15", 999).otherwise(F.col("customer_id")))
+    summary = run_etl(spark, lake, str(tmp_path), AS_OF, "rebuild")
+    assert summary.extracted["stg_delivery"] == 6 and summary.loaded["fact_delivery"] == 2
+    errors = Store(spark, str(tmp_path)).errors().filter("source_pk = 'ENT-BOUND-15'").collect()
+    assert [r.rule for r in errors] == ["referential_integrity"]
+
+
+def test_one_version_has_one_author(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.commit("one", True, dt.datetime(2026, 1, 1))
+    assert store.committed() == ["one"]
+    late = Store(spark, str(tmp_path))
+    late._commits = lambda: spark.createDataFrame([], warehouse_schema("commits"))
+    with pytest.raises(Exception, match="already exists"):
+        late.commit("two", True, dt.datetime(2026, 1, 1))
+    assert store.committed() == ["one"]
+
+
+@pytest.fixture
+def session_zone(spark, request):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "America/Mexico_City", "Asia/Kolkata"], indirect=True)
+@pytest.mark.parametrize("zone", ["UTC", "America/Mexico_City"])
+def test_business_dates_do_not_follow_the_session(spark, tmp_path, session_zone, zone):
+    """Zone-free times keep their date and hour, zoned ones take those of the business zone."""
+    free = sources(spark)
+    wall = F.lit("2026-01-05 22:30:00").cast("timestamp_ntz")
+    free["fuel_load"] = free["fuel_load"].withColumn("load_datetime", wall)
+    run_etl(spark, free, str(tmp_path / "free"), AS_OF, "rebuild", zone=zone)
+    got = Store(spark, str(tmp_path / "free")).table("fact_fuel").select("date_id", "time_id").distinct()
+    assert [tuple(r) for r in got.collect()] == [(20260105, 22)]
+
+    zoned = dict(free)
+    moment = F.timestamp_seconds(F.lit(1767673800))  # 2026-01-06 04:30 UTC
+    zoned["fuel_load"] = free["fuel_load"].withColumn("load_datetime", moment)
+    run_etl(spark, zoned, str(tmp_path / "zoned"), AS_OF, "rebuild", zone=zone)
+    got = Store(spark, str(tmp_path / "zoned")).table("fact_fuel").select("date_id", "time_id").distinct()
+    assert [tuple(r) for r in got.collect()] == [(20260106, 4) if zone == "UTC" else (20260105, 22)]
+
+
 def test_unknown_mode(spark, tmp_path):
     with pytest.raises(ValueError):
         Run(Store(spark, str(tmp_path)), "sometimes", AS_OF)

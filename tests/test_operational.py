@@ -30,19 +30,21 @@ def test_alerts(spark):
         ("XYZ-9", "MEDIA", "Faltan 800 km para el próximo servicio.")]
 
 
-@pytest.mark.parametrize("hot_rows", [30, 10**6])
+@pytest.mark.parametrize("hot_rows", [1, 30, 10**6])
 def test_previous_load(spark, hot_rows):
     rng = random.Random(11)
     data = [(i, f"C{i}", 1 if rng.random() < 0.5 else rng.randrange(2, 5), 1,
+             None if i % 17 == 0 else
              dt.datetime(2026, 1, 1) + dt.timedelta(seconds=20 * rng.randrange(60)),
              Decimal("10"), Decimal("1"), Decimal("10"), Decimal(rng.randrange(500)),
              rng.random() < 0.8, T0) for i in range(200)]
     expected = {}
     for r in data:
-        earlier = [p for p in data if p[2] == r[2] and p[9] and p[4] < r[4]]
+        earlier = [p for p in data if p[2] == r[2] and p[9] and p[4] and r[4] and p[4] < r[4]]
         expected[r[0]] = max(earlier, key=lambda p: (p[4], p[0]))[8] if earlier else None
     frame = spark.createDataFrame(data, DDL["fuel_load"])
     out = operational.previous_load(frame, hot_rows).collect()
+    assert len(out) == len(data)
     assert {r.id: r.previous_odometer_km for r in out} == expected
 
 
@@ -92,6 +94,20 @@ def test_completion(spark):
     assert "ya está completado" in reasons[3]
 
 
+@pytest.mark.parametrize("hot_rows", [1, 2, 10**6])
+def test_every_completion_has_a_verdict(spark, hot_rows):
+    s = sources(spark)
+    undated = s["maintenance"].withColumn(
+        "service_date", F.when(F.col("folio") != "MAN-1", F.col("service_date")))
+    events = spark.createDataFrame(
+        [(1, "MAN-1", None), (2, "MAN-2", None), (3, "MAN-1", None), (4, "MAN-2", None)],
+        "event_id bigint, folio string, next_service_km decimal(12,2)")
+    verdicts = changes.completion_verdicts(events, undated, s["vehicle"], hot_rows).collect()
+    assert sorted(r.event_id for r in verdicts) == [1, 2, 3, 4]
+    # The undated order comes first, at the lower reading, so both folios complete once.
+    assert {r.event_id for r in verdicts if r.reason is None} == {1, 2}
+
+
 def test_soft_delete(spark):
     s = sources(spark)
     out = changes.deactivate(s["customer"], spark.createDataFrame([(1,)], "id bigint"), AT)

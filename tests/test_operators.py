@@ -37,17 +37,23 @@ def loop(rows, newest_first):
 
 
 @pytest.mark.parametrize("newest_first", [True, False])
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
+@pytest.mark.parametrize("written", [False, True])
 @pytest.mark.parametrize("partitions", [1, 37])
-def test_first_accepted_wins(spark, newest_first, hot_rows, partitions):
+def test_first_accepted_wins(spark, tmp_path, newest_first, written, partitions):
     rows = landing(3)
     frame = spark.createDataFrame(
         rows, "id int, extracted_at int, key string, fault int").repartition(partitions)
     verdict = judge(
         frame, F.col("key"),
         [Rule(f"rule_{n}", F.col("fault") == n, "x", ("id",)) for n in (1, 2)],
-        Repeat("again", ("id",)), newest_first=newest_first, hot_rows=hot_rows,
+        Repeat("again", ("id",)), newest_first=newest_first,
     )
+    if written:
+        def keep(rows, name):
+            rows.write.parquet(str(tmp_path / name))
+            return spark.read.parquet(str(tmp_path / name))
+
+        verdict = verdict.settled(keep)
     accepted = sorted(r.id for r in verdict.accepted().collect())
     rejected = sorted(
         (int(r.id), r.rule)
@@ -61,17 +67,21 @@ def chain_rows(seed, n=500):
     rows = []
     for i in range(n):
         plate = "HOT" if rng.random() < 0.4 else rng.choice(["", "P1", "P2", "P3"])
-        rows.append((i, plate, rng.choice(["a", "b"]), rng.randrange(40),
+        rows.append((i, plate, rng.choice([None, "a", "b"]),
+                     None if rng.random() < 0.1 else rng.randrange(40),
                      None if rng.random() < 0.2 else rng.randrange(1000)))
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [20, 10**6])
+@pytest.mark.parametrize("hot_rows", [1, 20, 10**6])
 @pytest.mark.parametrize("kind", ["last", "highest"])
 def test_value_before_each_row(spark, hot_rows, kind):
     rows = chain_rows(5)
     expected, last = {}, {}
-    for i, plate, raw, t, value in sorted(rows, key=lambda r: (r[2], r[3], r[0])):
+    first = lambda x: (x is not None, x or 0)  # noqa: E731  nulls come first
+    for i, plate, raw, t, value in sorted(
+        rows, key=lambda r: (r[2] is not None, r[2] or "", *first(r[3]), r[0])
+    ):
         expected[i] = last.get(plate) if plate else None
         if plate and value is not None:
             last[plate] = value if kind == "last" else max(value, last.get(plate, value))
