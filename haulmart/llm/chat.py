@@ -111,7 +111,7 @@ def formatted(log: DataFrame) -> DataFrame:
 
 
 def parsed(chats: DataFrame) -> DataFrame:
-    """conv_id and ``turns`` (role, text), read back from ``formatted`` alone."""
+    """``chats`` with ``turns`` (role, text), read back from ``formatted`` alone."""
     inner = lambda t: F.regexp_extract(t, r"^(?:\[INST\]|<s>|<<[^>]*>>)([^\[<]*)", 1)
     role = lambda t: (
         F.when(t.startswith("[INST]"), F.lit("user"))
@@ -119,11 +119,11 @@ def parsed(chats: DataFrame) -> DataFrame:
         .otherwise(unescape(F.regexp_extract(t, r"^<<([^>]*)>>", 1)))
     )
     found = F.regexp_extract_all("formatted", F.lit(_TURN), 0)
-    return chats.select(
-        "conv_id",
+    return chats.withColumn(
+        "turns",
         F.transform(
             found, lambda t: F.struct(role(t).alias("role"), unescape(inner(t)).alias("text"))
-        ).alias("turns"),
+        ),
     )
 
 

@@ -58,8 +58,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
-    chats = keep(chat.formatted(chat.log_of(rows.unionByName(more))), "chats")
-    turns = chat.parsed(chats).withColumnRenamed("conv_id", "of")
+    chats = chat.parsed(keep(chat.formatted(chat.log_of(rows.unionByName(more))), "chats"))
     told = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
@@ -70,8 +69,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "",
     )
-    both = chats.join(turns, F.col("conv_id").eqNullSafe(F.col("of")))
-    return both.withColumn("loss", loss).select(
+    return chats.withColumn("loss", loss).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(told.cast("binary"), 256).alias("turns_sha256"),
