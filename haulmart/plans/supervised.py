@@ -46,6 +46,8 @@ class Settings:
     tolerance: float = 1e-4
     # Folds fitted at the same time.
     parallelism: int = 5
+    # Most labelled rows that a classifier is fitted on, first by a hash; all without one.
+    fit_rows: int | None = None
 
 
 def preprocessor() -> list:
@@ -269,12 +271,19 @@ def cross_validate(train: DataFrame, build, settings: Settings) -> tuple[float,
 def candidates(settings: Settings) -> dict[str, object]:
     """Name to a function that fits the whole pipeline on given rows."""
 
+    def bounded(train: DataFrame) -> DataFrame:
+        if settings.fit_rows is None:
+            return train
+        drawn = F.xxhash64("folio", F.lit(settings.seed))
+        return train.orderBy(drawn, "folio").limit(settings.fit_rows)
+
     def fit_logistic(train: DataFrame) -> PipelineModel:
+        train = bounded(train)
         model = logistic(train.count(), settings)
         return Pipeline(stages=[*preprocessor(), model]).fit(train)
 
     def fit_forest(train: DataFrame) -> PipelineModel:
-        weighted = class_weights(train, CLASSIFICATION_TARGET)
+        weighted = class_weights(bounded(train), CLASSIFICATION_TARGET)
         return Pipeline(stages=[*preprocessor(), forest(settings)]).fit(weighted)
 
     return {LOGISTIC: fit_logistic, FOREST: fit_forest}
