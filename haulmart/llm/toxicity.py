@@ -45,6 +45,8 @@ LANDMARKS = 320
 ROUNDS = 4
 REGULAR = 1e-4
 THRESHOLD = 0.3
+# Words whose features are made or summed at a time.
+BLOCK = 8192
 # Scored words that a worker remembers between batches.
 REMEMBERED = 800_000
 
@@ -129,15 +131,31 @@ def kernel(row: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
+def features(row: list[str], landmarks: list[str], root: np.ndarray) -> np.ndarray:
+    """Words in the feature space of the landmarks, made block by block."""
+    blocks = [
+        kernel(row[a : a + BLOCK], landmarks) @ root.astype(np.float32)
+        for a in range(0, len(row), BLOCK)
+    ]
+    return np.concatenate(blocks) if blocks else np.empty((0, root.shape[1]), np.float32)
+
+
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
-    """Weights of a linear machine with squared hinge loss, the last for a constant, by Newton steps."""
-    x = np.c_[x, np.ones(len(x))]
-    w = np.zeros(x.shape[1])
+    """Weights of a linear machine with squared hinge loss, the last for a constant, by Newton steps.
+
+    Sums run over blocks of rows, so beside ``x`` only a block is held.
+    """
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(30):
-        slack = 1 - y * (x @ w)
-        on = slack > 0
-        gradient = REGULAR * w - x[on].T @ (cost[on] * y[on] * slack[on])
-        curve = REGULAR * np.eye(len(w)) + (x[on] * cost[on, None]).T @ x[on]
+        gradient, curve = REGULAR * w, REGULAR * np.eye(len(w))
+        for a in range(0, len(x), BLOCK):
+            part = np.c_[x[a : a + BLOCK].astype(float), np.ones(len(x[a : a + BLOCK]))]
+            sign, weight = y[a : a + BLOCK], cost[a : a + BLOCK]
+            slack = 1 - sign * (part @ w)
+            on = slack > 0
+            part, pull = part[on], weight[on]
+            gradient = gradient - part.T @ (pull * sign[on] * slack[on])
+            curve = curve + (part * pull[:, None]).T @ part
         step = np.linalg.solve(curve, gradient)
         w = w - step
         if np.abs(step).max() < 1e-6:
@@ -252,16 +270,18 @@ def train(sample: DataFrame) -> Model:
     pool = sorted({p for bag in bags for w in bag for p in pieces(w)})
     at = {p: i for i, p in enumerate(pool)}
     inside = [[at[p] for w in bag for p in pieces(w)] for bag in bags if bag]
-    toxic_x, other_x = kernel(pool, landmarks) @ root, kernel(harmless, landmarks) @ root
+    other_x = features(harmless, landmarks, root)
     witness = [own[0] for own in inside]
     for _ in range(ROUNDS):
-        x = np.r_[toxic_x[witness], other_x]
-        y = np.r_[np.ones(len(witness)), -np.ones(len(other_x))]
-        cost = np.r_[np.full(len(witness), 1 / len(witness)), np.full(len(other_x), 1 / len(other_x))]
+        # Texts that lend one word count as often as there are texts.
+        lent, times = np.unique(witness, return_counts=True)
+        x = np.concatenate([features([pool[i] for i in lent], landmarks, root), other_x])
+        y = np.r_[np.ones(len(lent)), -np.ones(len(other_x))]
+        cost = np.r_[times / len(witness), np.full(len(other_x), 1 / len(other_x))]
         w = _machine(x, y, cost)
-        value = toxic_x @ w[:-1]
+        model = Model(_fold_in(landmarks, root, w), float(w[-1]), (1.0, 0.0, 0.0, 0.0))
+        value = model.of_words(pool)
         witness = [own[int(np.argmax(value[own]))] for own in inside]
-    model = Model(_fold_in(landmarks, root, w), float(w[-1]), (1.0, 0.0, 0.0, 0.0))
 
     def value_of(row: pd.Series) -> pd.Series:
         return pd.Series(model.of_words(row.tolist()))
