@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -39,9 +40,20 @@ GAMMA = 2.0
 MAX_LEVELS = 32
 # Encoded words that a worker remembers between batches.
 REMEMBERED = 500_000
+# What the tokenizer takes for white space. Python's also has U+001C to U+001F,
+# which the tokenizer gives ids.
+_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_NOT_WHITE = re.compile("[\x1c-\x1f]")
 _ENTRY = np.dtype([("mark", "<u4"), ("file", "<u4"), ("offset", "<u8"), ("count", "<u4")])
 
 
+def cut_words(text: str) -> list[str]:
+    """The words of a text, cut at the tokenizer's white space."""
+    if _NOT_WHITE.search(text):
+        return [w for w in _WHITE.split(text) if w]
+    return text.split()
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -101,7 +113,7 @@ class WordEncoder:
             words[word] = words[word[:-1]] + words[word[-1]]
 
     def payloads(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").split() for t in texts]
+        cut = [cut_words(t or "") for t in texts]
         words = self._words
         self._learn({w for row in cut for w in row if w not in words})
         end = np.array([END_ID], WIDTH).tobytes()

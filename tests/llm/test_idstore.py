@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 
 import numpy as np
@@ -32,6 +33,19 @@ def test_words_in_a_row_equal_whole_texts():
         assert np.frombuffer(payload, idstore.WIDTH).tolist() == want
 
 
+def test_every_control_and_space_equals_the_library():
+    odd = [c for c in map(chr, range(0x110000)) if c.isspace() or unicodedata.category(c) in ("Cc", "Cf", "Zs", "Zl", "Zp")]
+    assert {*map(chr, range(0x20)), "\x7f", "\x85", "\u200b", "\u2028", "\u3000"} <= set(odd)
+    texts = [
+        t for c in odd
+        for t in (f"page one{c}page two", f"{c}one {c} two, {c}", f"it{c}'s{c}{c}12{c}.{c}Mix\x1c{c}ed\x1f, end", c)
+    ]
+    made = idstore.WordEncoder(idstore.tokenizer_path()).payloads(texts)
+    for text, payload in zip(texts, made):
+        want = TOKENIZER.encode(text, add_special_tokens=False).ids + [idstore.END_ID]
+        assert np.frombuffer(payload, idstore.WIDTH).tolist() == want, repr(text)
+
+
 @pytest.mark.parametrize("bucket_keys", [40, 500_000])
 def test_read_back_in_order(docs_of, bucket_keys):
     rows = [(i * 3 - 50, t, "en", "s") for i, t in enumerate(TEXTS * 12)]
