@@ -7,16 +7,20 @@ form and draw number. Draws are checked across the whole corpus: two entities
 must not get one surrogate, and no surrogate may be another entity of the
 corpus. Who loses a collision draws again until none is left.
 
-Names are drawn by part, so "Mrs Anna Wolf" and "Mrs Wolf" keep one surname.
+Names are drawn by part, so "Mrs Anna Wolf" and "Mrs Wolf" keep one surname. A
+part has one surrogate whatever the title and the place it stands in, and goes
+wherever else its document mentions it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
+from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -44,9 +48,44 @@ ENDINGS = {
     "greek": {"f": "να", "m": "ρος", "n": "λες", "s": "μαρ"},
 }
 
+# Lower-case words inside names, and what a doctor's title may go on with.
+PARTICLES = (
+    "von", "vom", "und zu", "zu", "zum", "zur", "van", "der", "den", "dem", "de", "del", "della", "dela", "di", "da",
+    "do", "dos", "das", "du", "des", "la", "las", "le", "les", "los", "el", "al", "bin", "bint", "ibn", "ben", "y",
+    "e", "i", "af", "av", "ter", "ten", "te", "'t", "фон", "ван", "де", "дер", "ди", "да", "ла", "ντε", "ντι", "φον",
+)
+DEGREES = ("med", "dent", "vet", "phil", "jur", "iur", "rer", "nat", "pol", "oec", "theol", "habil", "h", "c", "hc")
+
 _TITLES = sorted((t for ts in ADDRESS.values() for t in ts), key=len, reverse=True)
 _GENDER = {t: g for g, ts in ADDRESS.items() for t in ts}
-_NAME = r"[^\W\d_][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+
+
+def _ranges(chars: list[int]) -> str:
+    """The code points as ranges of a character class, as Python and Java both read it."""
+    runs = [list(g) for _, g in groupby(enumerate(chars), lambda x: x[1] - x[0])]
+    spell = lambda c: chr(c) if c > 0x7F else re.escape(chr(c))
+    return "".join(f"{spell(run[0][1])}-{spell(run[-1][1])}" for run in runs)
+
+
+_UPPER = "[" + _ranges([c for c in range(0x20000) if unicodedata.category(chr(c)) in ("Lu", "Lt")]) + "]"
+_MARKS = r"[\u0300-\u036f]*"
+_LETTERS = r"(?:[^\W\d_]" + _MARKS + ")+"
+_GAP = r"[ \t\xa0\u2009\u202f]"
+_ADDRESSED = "(?:" + "|".join(_TITLES) + r")\b"
+# After a form of address: its dot, white space and degrees.
+_AFTER = rf"\.?(?:-Ing\b)?(?:\.{_GAP}*|{_GAP}+)(?:(?:{'|'.join(DEGREES)})\.{_GAP}*)*"
+# Of a genitive only the name.
+_PART = (
+    rf"(?!{_ADDRESSED})(?:[dDlL]['’]|[aA]l-|[eE]l-)?{_UPPER}{_MARKS}"
+    rf"(?:{_LETTERS}(?:-{_LETTERS}|['’](?!s\b){_LETTERS})*|(?:-{_LETTERS}|['’](?!s\b){_LETTERS})+)"
+)
+_INITIAL = rf"{_UPPER}(?:\.(?:-?{_UPPER}\.)*|(?=(?:{_GAP}+{_UPPER}(?!\w)\.?)*{_GAP}+{_UPPER})(?!\w))"
+_PARTICLE = rf"(?:(?:{'|'.join(sorted(PARTICLES, key=len, reverse=True))}){_GAP}+)*"
+_NAME = (
+    rf"{_PARTICLE}(?:{_PART}|{_INITIAL}|{_UPPER}(?![\w'’-]))"
+    rf"(?:(?:{_GAP}+|(?<=\.)){_PARTICLE}(?:{_PART}|(?!{_ADDRESSED}){_INITIAL}))*"
+)
+_NAME_PART = re.compile(rf"(?<!\w)(?:{_PART}|{_INITIAL}|{_UPPER}(?!\w))")
 _ENTITY = re.compile(
     r"(?P<email>[\w.+%-]*\w[\w.+%-]*@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w))"
@@ -57,10 +96,10 @@ _ENTITY = re.compile(
     r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
     r"|(?P<secret>(?<!\w)(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,128}(?!\w)"
     r"|\b(?:AKIA|ghp_|sk-|xox[bp]-)\w{12,})"
-    r"|(?P<title>\b(?:" + "|".join(_TITLES) + r")\b)\.?[ \t]+(?P<name>" + _NAME + r"(?:[ \t]+" + _NAME + r"){0,2})"
+    rf"|(?P<title>\b{_ADDRESSED}(?:{_AFTER}{_ADDRESSED})*){_AFTER}(?P<name>{_NAME})"
 )
 # Whatever holds an entity holds one of these.
-MAYBE = r"[0-9@]|(" + "|".join(_TITLES) + r")\.?[ \t]"
+MAYBE = r"[0-9@]|(" + "|".join(_TITLES) + rf")(-Ing)?(\.|{_GAP})"
 
 
 def canonical(kind: str, surface: str) -> str:
@@ -73,30 +112,60 @@ def canonical(kind: str, surface: str) -> str:
     return surface.lower()
 
 
+def _parts(m: re.Match) -> list[tuple[int, int, str, str]]:
+    """The parts of a name that follows forms of address.
+
+    The last that is no initial is the surname. Names that a hyphen joins are
+    parts of their own.
+    """
+    told = {_GENDER[t] for t in re.findall(_ADDRESSED, m["title"])} - {"n"}
+    gender = told.pop() if len(told) == 1 else "n"
+    parts = [(m.start("name") + p.start(), p.group()) for p in _NAME_PART.finditer(m["name"])]
+    whole = [i for i, (_, p) in enumerate(parts) if re.fullmatch(_PART, p)]
+    found = []
+    for i, (at, part) in enumerate(parts):
+        if i not in whole:
+            found.append((at, at + len(part), "initial", canonical("initial", part)))
+            continue
+        kind = "surname" if i == whole[-1] else f"given_{gender}"
+        for piece in re.split(rf"(?<=\w\w)-(?={_UPPER}\w)", part):
+            found.append((at, at + len(piece), kind, canonical(kind, piece)))
+            at += len(piece) + 1
+    return found
+
+
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form), in order and not overlapping.
 
-    The parts of a name come one by one: a given name of the address's gender
-    (given_f, given_m, given_n) and a surname, which stands last.
+    The parts of a name come one by one: initials, given names with the
+    address's gender (given_f, given_m, given_n), and a surname. Their further
+    mentions in the text, with or without an address, are entities too.
     """
-    found = []
-    for m in _ENTITY.finditer(text or ""):
+    text = text or ""
+    found, names = [], {}
+    for m in _ENTITY.finditer(text):
         kind = m.lastgroup
         if kind != "name":
             found.append((m.start(), m.end(), kind, canonical(kind, m.group())))
             continue
-        # Names begin upper case; what follows in lower case is no part of one.
-        parts = []
-        for p in re.finditer(_NAME, m["name"]):
-            if not p.group()[0].isupper():
-                break
-            parts.append(p)
-        gender = _GENDER[m["title"]]
-        for i, p in enumerate(parts):
-            kind = "surname" if i == len(parts) - 1 else f"given_{gender}"
-            at = m.start("name")
-            found.append((at + p.start(), at + p.end(), kind, canonical(kind, p.group())))
-    return found
+        for part in _parts(m):
+            found.append(part)
+            if part[2] != "initial":
+                names.setdefault(part[3], "surname" if part[2] == "surname" else "given_n")
+    if not names:
+        return found
+    surfaces = {text[a:b] for a, b, kind, _ in found if kind == "surname" or kind.startswith("given")}
+    spelt = "|".join(map(re.escape, sorted({*names, *surfaces}, key=len, reverse=True)))
+    taken, more = iter([*found, (len(text) + 1, 0, "", "")]), []
+    start, end, *_ = next(taken)
+    # A genitive without an apostrophe keeps its s.
+    for m in re.finditer(rf"(?<!\w)(?:{spelt})(?=s?(?!\w))", text, re.IGNORECASE):
+        while end and end <= m.start():
+            start, end, *_ = next(taken)
+        said = m.group()
+        if m.end() <= start and (said[0].isupper() or said in surfaces) and said.lower() in names:
+            more.append((m.start(), m.end(), names[said.lower()], said.lower()))
+    return sorted(found + more)
 
 
 class _Draw:
@@ -180,6 +249,10 @@ def surrogate(key: str, kind: str, value: str, number: int) -> str:
         return _alike(value, draw)
     script = _script(value)
     parts = SYLLABLES[script]
+    if kind == "initial":
+        letters = sorted({p[0] for p in parts})
+        other = lambda c: [x for x in letters if x != c]
+        return "".join(other(c)[draw.below(len(other(c)))] if c.isalpha() else c for c in value)
     syllables = 2 + number // 3 + draw.below(2)
     ending = ENDINGS[script]["s" if kind == "surname" else kind[-1]]
     return "".join(parts[draw.below(len(parts))] for _ in range(syllables)) + ending
@@ -192,9 +265,10 @@ def render(surface: str, kind: str, chosen: str) -> str:
         return "".join(next(left) if c.isalnum() else c for c in surface)
     if kind in ("ip", "secret"):
         return chosen
-    if surface.isupper():
+    if surface.isupper() or kind == "initial":
         return chosen.upper()
-    return chosen.title() if kind.startswith(("given", "surname")) and surface[0].isupper() else chosen
+    named = kind.startswith(("given", "surname")) and any(c.isupper() for c in surface)
+    return chosen.title() if named else chosen
 
 
 def rewritten(text: str, spans: list) -> str:
@@ -230,6 +304,32 @@ def _drawer(key: str):
     return F.pandas_udf(draw, StringType())
 
 
+def _space() -> Column:
+    """Names are one space whatever their gender and place, so no two people merge."""
+    named = F.col("kind").startswith("given") | (F.col("kind") == "surname")
+    return F.when(named, F.lit("name")).otherwise(F.col("kind"))
+
+
+def known_once(each: DataFrame) -> DataFrame:
+    """(kind, value), a row for each entity of the mentions ``each``.
+
+    A name is of the gender that its forms of address tell, of neither where
+    they tell both or none, and a surname where it is nothing else.
+    """
+    said = lambda k: F.max(F.col("kind") == k)
+    seen = each.groupBy(_space().alias("space"), "value").agg(
+        said("given_f").alias("f"), said("given_m").alias("m"), said("given_n").alias("n")
+    )
+    kind = (
+        F.when(F.col("space") != "name", F.col("space"))
+        .when(F.col("f") & ~F.col("m"), "given_f")
+        .when(F.col("m") & ~F.col("f"), "given_m")
+        .when(F.col("f") | F.col("n"), "given_n")
+        .otherwise("surname")
+    )
+    return seen.select(kind.alias("kind"), "value")
+
+
 def assign(known: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, value, chosen) for distinct entities (kind, value), free of collisions.
 
@@ -237,9 +337,7 @@ def assign(known: DataFrame, key: str = KEY) -> DataFrame:
     the least. A surrogate that is an entity of the corpus is always given up.
     Each round writes its draws to the shared folder.
     """
-    # Given names of all genders are one space, so no two people merge.
-    space = F.when(F.col("kind").startswith("given"), F.lit("given")).otherwise(F.col("kind"))
-    known = known.withColumn("space", space)
+    known = known.withColumn("space", _space())
     real = known.select(F.col("space").alias("real_space"), F.col("value").alias("real_value")).distinct()
     draw = _drawer(key)
     now = known.withColumn("number", F.lit(0)).withColumn("settled", F.lit(False))
@@ -287,30 +385,33 @@ def replaced(docs: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     maybe = F.coalesce(text.rlike(MAYBE), F.lit(False))
     held = rows.filter(maybe).withColumn("spans", detector()(text))
     held = keep(held.withColumn("at", F.monotonically_increasing_id()), "entities")
-    each = held.select("at", F.explode("spans").alias("x")).select("at", "x.*")
-    chosen = assign(each.select("kind", "value").distinct(), key)
+    # Initials are too few to be told apart; each is drawn where it stands.
+    shared = F.filter("spans", lambda x: x["kind"] != "initial")
+    each = held.select("at", F.explode(shared).alias("x")).select("at", "x.*")
+    chosen = assign(known_once(each.select("kind", "value")), key)
 
     # A mention in a third of all documents is dealt to several parts.
     parts = chosen.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    met = each.withColumn("part", F.pmod(F.col("at"), F.lit(SALTS)).cast("int")).join(
-        parts, ["kind", "value", "part"]
+    parts = parts.select(_space().alias("space"), "value", "part", "chosen")
+    met = each.withColumns({"space": _space(), "part": F.pmod(F.col("at"), F.lit(SALTS)).cast("int")}).join(
+        parts, ["space", "value", "part"]
     )
     spans = met.groupBy(F.col("at").alias("of")).agg(
         F.collect_list(F.struct("start", "end", "kind", "chosen")).alias("new")
     )
 
-    def rewrite(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                t if s is None else rewritten(t, [(x["start"], x["end"], x["kind"], x["chosen"]) for x in s])
-                for t, s in zip(texts, spans)
-            ],
-            dtype=object,
-        )
+    def rewrite(texts: pd.Series, spans: pd.Series, initials: pd.Series) -> pd.Series:
+        out = []
+        for t, s, own in zip(texts, spans, initials):
+            new = [] if s is None else [(x["start"], x["end"], x["kind"], x["chosen"]) for x in s]
+            for x in own:
+                new.append((x["start"], x["end"], x["kind"], surrogate(key, x["kind"], x["value"], 0)))
+            out.append(rewritten(t, new) if new else t)
+        return pd.Series(out, dtype=object)
 
     put = F.pandas_udf(rewrite, StringType())
     done = held.join(spans, F.col("at") == F.col("of"), "left").select(
-        "row", put(text, F.col("new")).alias("text"), F.size("spans").cast("long").alias("n_entities")
+        "row", put(text, F.col("new"), F.filter("spans", lambda x: x["kind"] == "initial")).alias("text"), F.size("spans").cast("long").alias("n_entities")
     )
     plain = rows.filter(~maybe).select("row", text.alias("text"), F.lit(0).cast("long").alias("n_entities"))
     return plain.unionByName(done), chosen

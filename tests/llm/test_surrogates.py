@@ -85,3 +85,28 @@ def test_odd_rows(docs_of, odd_rows):
     untouched = sorted((r[1] or "") for r in odd_rows)
     assert untouched == sorted((r.text or "") for r in out.collect() if "@" not in (r.text or "") and not re.fullmatch(r"[\d.]+", r.text or ""))
     assert surrogates.with_surrogates(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Prof. Dr. Anna Wolf kam", "Anna Wolf"),
+    ("Herr Dr. Wolf ging. Wolf sagte: Wolfs Haus, WOLF, der wolf", "Wolf Wolf Wolf WOLF"),
+    ("Mr J. Smith, Mr J Smith and Dr. J.R.R. Tolkien", "J. Smith J Smith J.R.R. Tolkien"),
+    ("Señora María del Carmen Ruiz de la Cruz dijo", "María Carmen Ruiz Cruz"),
+    ("Frau von der Leyen, Prof. Dr. med. Karl-Otto Berg, Dr.-Ing. Hans Maier", "Leyen Karl Otto Berg Hans Maier"),
+    ("Mr Wolf met Dr Kim; Mrs Wolf's, Mr O'Neil", "Wolf Kim Wolf O'Neil"),
+    ("Herr\xa0Wolf. Mr. and Mrs. Smith. Herr Dr ist da", "Wolf Smith"),
+    ("Mr A. B. C. D. Eins Zwei Drei Vier Wolf", "A. B. C. D. Eins Zwei Drei Vier Wolf"),
+])
+def test_whole_names_are_found(text, names):
+    assert [text[a:b] for a, b, *_ in surrogates.entities(text)] == names.split()
+
+
+def test_a_name_has_one_surrogate_in_all_places(docs_of):
+    rows = ["Dr Anna Wolf met Mrs Anna Berg. Anna and Wolf left.", "Prof. Anna Lang, Mr J. Lang", "Mr J. only", "Anna stays here"]
+    texts, chosen = out_of(docs_of(rows))
+    said = re.fullmatch(r"Dr (\w+) (\w+) met Mrs (\w+) (\w+)\. (\w+) and (\w+) left\.", texts[0][0]).groups()
+    assert said[0] == said[2] == said[4] and said[0].endswith("na") and said[1] == said[5] != said[3]
+    again = re.fullmatch(r"Prof\. (\w+) (\w+), Mr ([A-Z])\. (\w+)", texts[1][0]).groups()
+    assert again[0] == said[0] and again[1] == again[3] and again[2] != "J" and texts[2][0] == f"Mr {again[2]}. only"
+    assert texts[3] == (rows[3], 0) and [texts[i][1] for i in range(3)] == [6, 4, 1]
+    assert {v for k, v in chosen if k.startswith("given")} == {"anna"}
