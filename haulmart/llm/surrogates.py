@@ -86,6 +86,7 @@ _NAME = (
     rf"(?:(?:{_GAP}+|(?<=\.)){_PARTICLE}(?:{_PART}|(?!{_ADDRESSED}){_INITIAL}))*"
 )
 _NAME_PART = re.compile(rf"(?<!\w)(?:{_PART}|{_INITIAL}|{_UPPER}(?!\w))")
+_SECRETS = "(?:AKIA|ghp_|sk-|xox[bp]-)"
 _ENTITY = re.compile(
     r"(?P<email>[\w.+%-]*\w[\w.+%-]*@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w))"
@@ -95,11 +96,13 @@ _ENTITY = re.compile(
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
     r"|(?P<secret>(?<!\w)(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,128}(?!\w)"
-    r"|\b(?:AKIA|ghp_|sk-|xox[bp]-)\w{12,})"
+    rf"|\b{_SECRETS}\w{{12,}})"
     rf"|(?P<title>\b{_ADDRESSED}(?:{_AFTER}{_ADDRESSED})*){_AFTER}(?P<name>{_NAME})"
 )
-# Whatever holds an entity holds one of these.
-MAYBE = r"[0-9@]|(" + "|".join(_TITLES) + rf")(-Ing)?(\.|{_GAP})"
+# Whatever holds an entity holds one of these: a digit of any script as Python
+# tells them (Java's tables may be older), the start of a secret, or a title.
+_DIGITS = _ranges([c for c in range(0x110000) if unicodedata.category(chr(c)) == "Nd"])
+MAYBE = rf"[{_DIGITS}@]|{_SECRETS}|(" + "|".join(_TITLES) + rf")(-Ing)?(\.|{_GAP})"
 
 
 def canonical(kind: str, surface: str) -> str:
