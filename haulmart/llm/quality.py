@@ -6,6 +6,10 @@ the value (exact to 63, then 32 bins per doubling, so within 1/32). Sketches
 are merged by adding counts, in map tasks, across sources and across languages,
 and come out the same in any order. Limits are fences read off the sketches,
 and documents meet them in a join.
+
+A sketch in which junk is common has a wide fence of its own. So no limit is
+wider, by more than its slack, than the median of those of the language's
+sources, where each source has one vote whatever its size.
 """
 
 from __future__ import annotations
@@ -27,12 +31,13 @@ MAX_REPEATED_PERCENT = 50
 
 @dataclass(frozen=True)
 class Fence:
-    """A limit at a quartile plus ``reach`` quartile ranges plus ``slack``."""
+    """A limit at a quartile plus ``reach`` quartile ranges plus ``slack``, ``most`` at the most."""
 
     measure: str
     slack: int
     reach: int = 3
     below: bool = False
+    most: int | None = None
 
 
 # Measures are whole numbers: hundredths of a character, or parts of a thousand.
@@ -40,12 +45,14 @@ FENCES = (
     Fence("word_length", slack=100),
     Fence("word_length", slack=100, below=True),
     Fence("symbol_share", slack=100),
-    Fence("line_share", slack=500),
+    Fence("line_share", slack=200, most=900),
     Fence("repeat_share", slack=200),
 )
 MEASURES = tuple(dict.fromkeys(f.measure for f in FENCES))
 # A sketch of fewer documents is replaced by that of the language, then of all.
 MIN_SKETCH = 200
+# A source of fewer documents has no vote in the median.
+MIN_VOTE = 20
 # Parts that the rows of one (language, source) are dealt to in the join.
 SALTS = 32
 
@@ -215,6 +222,38 @@ def fences(sketch: DataFrame) -> DataFrame:
     )
 
 
+def held(table: DataFrame) -> DataFrame:
+    """``table`` of fences, none wider than the median source of its language allows.
+
+    Of two middle sources the wider counts. The limits of everything are held
+    against the sources of all languages.
+    """
+    def middle(i: int, f: Fence) -> Column:
+        limit = F.col(f"limit_{i}")
+        if f.below:
+            return F.percentile_approx(limit, 0.5, 10_000).alias(f"middle_{i}")
+        return (-F.percentile_approx(-limit, 0.5, 10_000)).alias(f"middle_{i}")
+
+    votes = table.filter((F.col("level") == 0) & (F.col("seen") >= MIN_VOTE))
+    middles = [middle(i, f) for i, f in enumerate(FENCES)]
+    by_language = votes.groupBy(F.col("lang").alias("of")).agg(*middles).withColumn("whole", F.lit(False))
+    of_all = votes.agg(*middles).select(F.lit(None).cast("string").alias("of"), "*", F.lit(True).alias("whole"))
+    # A row per language.
+    met = table.join(
+        F.broadcast(by_language.unionByName(of_all)),
+        F.col("lang").eqNullSafe(F.col("of")) & ((F.col("level") == 2) == F.col("whole")),
+        "left",
+    )
+    limits = {}
+    for i, f in enumerate(FENCES):
+        limit, mid = F.col(f"limit_{i}"), F.col(f"middle_{i}")
+        if f.below:
+            limits[f"limit_{i}"] = F.greatest(limit, mid - f.slack)
+        else:
+            limits[f"limit_{i}"] = F.least(limit, mid + f.slack, F.lit(f.most).cast("long"))
+    return met.withColumns(limits).select(*table.columns)
+
+
 def judge(rows: DataFrame) -> DataFrame:
     """Adds ``kept`` to measured rows.
 
@@ -224,7 +263,7 @@ def judge(rows: DataFrame) -> DataFrame:
     dealt to ``SALTS`` parts, so a source with a third of all rows is not one
     task's work.
     """
-    table = keep(fences(sketches(rows)), "fences")
+    table = keep(held(keep(fences(sketches(rows)), "sketched")), "fences")
     names = [f"limit_{i}" for i in range(len(FENCES))]
 
     def at(level: int) -> DataFrame:

@@ -57,6 +57,27 @@ def test_limits_follow_each_source(docs_of):
     assert 600 not in kept and {0, 299, 300, 601, 602} <= kept
 
 
+def test_common_junk_does_not_widen_its_own_limit(docs_of):
+    prose = " ".join(f"word{i}" for i in range(80))
+    junk = " ".join(f"item{i} |#|" for i in range(80))
+    rows = [(i, prose, "en", f"s{i % 3}") for i in range(660)]
+    # Half of one source, all of a large one, and a small source judged by the language.
+    rows += [(1000 + i, junk if i % 2 else prose, "en", "mixed") for i in range(400)]
+    rows += [(2000 + i, junk, "en", "spam") for i in range(700)]
+    rows += [(3000, junk, "en", "small"), (3001, prose, "en", "small"), (3002, prose, "fr", "small"), (3003, junk, "fr", "small")]
+    kept = {r.doc_id for r in quality.assess(docs_of(rows)).filter("kept").collect()}
+    assert kept == {r[0] for r in rows if r[1] == prose}
+
+
+def test_the_line_limit_can_be_reached(docs_of):
+    head = " ".join(f"w{i}" for i in range(3000))
+    lines = lambda n, same: "\n".join([head, *[f"line{i}" for i in range(n - same)], *["again"] * same])
+    # A quarter of the documents repeat over an eighth of their lines.
+    rows = [(i, lines(20, 7 if i % 3 == 0 else 0), "en", "s") for i in range(300)] + [(900, lines(400, 398), "en", "s")]
+    kept = {r.doc_id for r in quality.assess(docs_of(rows)).filter("kept").collect()}
+    assert kept == set(range(300))
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_odd_rows_have_a_verdict(docs_of, odd_rows, clashing):
     docs = docs_of(odd_rows, clashing)
