@@ -411,10 +411,9 @@ def _(x: Context):
 
 @query("m20_train_all", "best_name s, f1 d, mse d, k i, silhouette d")
 def _(x: Context):
-    """The whole training job with a small forest and few restarts."""
+    """The whole training job with its own settings, fitted on a bounded sample."""
     payload = training.train_all(
-        x.spark, x.star, x.scratch("models"), None,
-        supervised.Settings(trees=10, max_depth=6, cv_folds=2), clustering.Settings(restarts=2),
+        x.spark, x.star, x.scratch("models"), None, FULL, clustering.Settings(),
     )
     return x.spark.createDataFrame(
         [(

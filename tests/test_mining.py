@@ -121,3 +121,18 @@ def test_cluster_routes(spark):
     assert clustering.scatter(out.components).count() == 36
     fixed = clustering.cluster_routes(profile, 2, settings, range(3, 4))
     assert fixed.k == 2 and fixed.summary.count() == 2
+
+
+def test_the_registered_training_job_is_whole(monkeypatch, spark):
+    from types import SimpleNamespace
+
+    from haulmart.showcase import q_mining
+    from haulmart.showcase.registry import QUERIES
+
+    asked = []
+    monkeypatch.setattr(q_mining.training, "train_all", lambda *a: asked.extend(a[4:]) or {
+        "classification": {"best_name": "x", "best": {"metrics": {"f1": 1.0}}},
+        "regression": {"metrics": {"mse": 1.0}}, "clustering": {"k": 2, "silhouette": 0.5},
+    })
+    QUERIES["m20_train_all"].build(SimpleNamespace(spark=spark, star=None, scratch=lambda name: name))
+    assert asked == [supervised.Settings(fit_rows=2_000), clustering.Settings()]
