@@ -103,7 +103,73 @@ SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss) AS loss_char
 FROM whole
 """
 
+_NEGATIVES = """
+WITH v AS (
+    SELECT CAST(vec_id AS BIGINT) AS id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.id AS anchor_id, a.label AS anchor_label, b.id, b.label,
+        CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0
+), p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE label <> anchor_label AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""
+
+_PHRASES = r"""
+WITH piece AS (
+    SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS x
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents WHERE text IS NOT NULL
+    )
+), w AS (
+    SELECT lang, list_filter(regexp_split_to_array(x, '[\x20\x09]+'), lambda y: y <> '') AS w FROM piece
+), g AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS v(k))
+), f AS (
+    SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase
+), total AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+    SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+), cut AS (
+    SELECT lang, phrase, k, f AS a, i, array_to_string(w[1:i], ' ') AS head, array_to_string(w[i + 1 : k], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, k)) AS i FROM c)
+), scored AS (
+    SELECT cut.*, x.f AS l, y.f AS r,
+        CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head AND x.k = i
+        JOIN f y ON y.lang = cut.lang AND y.phrase = tail AND y.k = cut.k - i
+    QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, i) = 1
+), covered AS (
+    SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(f) AS longer
+    FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE k = 3) GROUP BY 1, 2
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+    s.phrase, a, l, r, n, score
+FROM scored s JOIN total ON total.lang = s.lang
+    LEFT JOIN covered o ON o.lang = s.lang AND o.phrase = s.phrase AND s.k = 2
+WHERE o.longer IS NULL OR 100 * o.longer < 50 * a
+QUALIFY row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": _QUALITY,
     "op8_chat_formatting": _CHAT,
+    "op12_hard_negatives": _NEGATIVES,
+    "op13_phrases": _PHRASES,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmart.llm import (
-    attribution, chat, hilbert, idstore, leaks, pieces, quality, simhash, surrogates, toxicity,
+    attribution, chat, hilbert, idstore, leaks, negatives, packing, phrases, pieces, quality, simhash,
+    surrogates, toxicity,
 )
 from haulmart.llm.oracle import ORACLE_SQL
 from haulmart.llm.shared import keep
@@ -88,12 +89,35 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return leaks.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies, with a digest of its ids."""
+    return packing.packed(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", packing.crc32_of("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth id is an anchor; the labels of every seventh are changed first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), moved.alias("label"),
+        negatives.whole_vector(F.col("embedding")).alias("vector"),
+    )
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_toxicity, op3_hilbert_sharding, op4_simhash_near_dedup,
         op5_sentencepiece, op6_quality_rules, op7_token_id_store, op8_chat_formatting,
-        op9_pii_surrogates, op10_benchmark_decontamination,
+        op9_pii_surrogates, op10_benchmark_decontamination, op11_packing, op12_hard_negatives,
+        op13_phrases,
     )
 }
 
