@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmart.llm.shared import fresh_path, keep
+from haulmart.llm.shared import Remembered, fresh_path, keep
 
 END_ID = 2
 WIDTH = np.dtype("<u2")
@@ -38,12 +38,15 @@ BUCKET_KEYS = 500_000
 # Bits of a level for each key that is left.
 GAMMA = 2.0
 MAX_LEVELS = 32
-# Encoded words that a worker remembers between batches.
-REMEMBERED = 500_000
+# Encoded words that a worker remembers between batches, and texts that it encodes at a time.
+REMEMBERED = 700_000
+TEXTS = 1_000
 # What the tokenizer takes for white space. Python's also has U+001C to U+001F,
 # which the tokenizer gives ids.
 _WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _NOT_WHITE = re.compile("[\x1c-\x1f]")
+# Letters and then signs, none of them an apostrophe, which may begin a unit with letters.
+_TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@[-`{-~]+)")
 _ENTRY = np.dtype([("mark", "<u4"), ("file", "<u4"), ("offset", "<u8"), ("count", "<u4")])
 
 
@@ -65,7 +68,8 @@ class WordEncoder:
 
     White space always ends a word and leaves no id, so a text's ids are those
     of its words in a row, and a word is given to the tokenizer once. So does
-    the end of letters before a sign, which parts "word," from its comma.
+    the end of letters before signs, which parts "word," from its comma; only
+    where a letter's lower case has a mark, as that of U+0130, they stay together.
 
     Words of letters only are one unit of the vocabulary's merges, whose last id
     is marked as a word's end; many of them are encoded in one call and cut
@@ -81,7 +85,7 @@ class WordEncoder:
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._words: dict[str, bytes] = {}
+        self._remembered = Remembered(REMEMBERED)
 
     def _one_by_one(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         made = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -99,28 +103,40 @@ class WordEncoder:
         return zip(words, (data[a:b] for a, b in zip(cuts, cuts[1:])))
 
     def _learn(self, new: set[str]) -> None:
-        words = self._words
-        tailed = [w for w in new if w[-1] in ".,!?;:" and w[:-1].isalpha()]
-        new = new.difference(tailed)
-        new.update(part for w in tailed for part in (w[:-1], w[-1]) if part not in words)
+        words = self._remembered.values
+        tailed = []
+        for word in new:
+            # The lower case of a letter may be letter and mark, which join the sign.
+            cut = _TAILED.fullmatch(word)
+            if cut is not None and cut[1].lower().isalpha():
+                tailed.append((word, cut[1], cut[2]))
+        new = new.difference(w for w, _, _ in tailed)
+        new.update(part for _, *parts in tailed for part in parts if part not in words)
+        # The tokenizer lowers letters first; of ASCII words, each is encoded in one case.
+        capital = {w: low for w in new if w.isascii() and (low := w.lower()) != w}
+        new = new.difference(capital)
+        new.update(low for low in capital.values() if low not in words)
         plain = [w for w in new if w.isalpha()]
         for at in range(0, len(plain), 4096):
             words.update(self._together(plain[at : at + 4096]))
         mixed = [w for w in new if not w.isalpha()]
         for at in range(0, len(mixed), 4096):
             words.update(self._one_by_one(mixed[at : at + 4096]))
-        for word in tailed:
-            words[word] = words[word[:-1]] + words[word[-1]]
+        for word, low in capital.items():
+            words[word] = words[low]
+        for word, letters, signs in tailed:
+            words[word] = words[letters] + words[signs]
 
-    def payloads(self, texts: list[str | None]) -> list[bytes]:
-        cut = [cut_words(t or "") for t in texts]
-        words = self._words
-        self._learn({w for row in cut for w in row if w not in words})
+    def payloads(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text with the end id, as bytes; a null text has the end id only."""
         end = np.array([END_ID], WIDTH).tobytes()
-        out = [b"".join([*map(words.__getitem__, row), end]) for row in cut]
-        if len(words) > REMEMBERED:
-            words.clear()
-        return out
+        for at in range(0, len(texts), TEXTS):
+            cut = [cut_words(t or "") for t in texts[at : at + TEXTS]]
+            self._learn(self._remembered.unknown(cut))
+            of = self._remembered.values.__getitem__
+            for row in cut:
+                yield b"".join([*map(of, row), end])
+            self._remembered.trim()
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -246,7 +262,7 @@ def _write_payloads(root: str, encode: str) -> Callable:
         coder, out, offset = word_encoder(encode), None, 0
         try:
             for batch in batches:
-                payloads = coder.payloads(batch.column("text").to_pylist())
+                payloads = list(coder.payloads(batch.column("text").to_pylist()))
                 if out is None and payloads:
                     system.create_dir(folder, recursive=True)
                     out = system.open_output_stream(f"{folder}/{name}")

@@ -6,9 +6,10 @@ are beyond it; the tests hold those queries against brute force.
 
 from __future__ import annotations
 
+# Fence number, measure, and whether it is a lower limit.
 _FENCES = """
-    ('word_length', 100, FALSE), ('word_length', 100, TRUE), ('symbol_share', 100, FALSE),
-    ('line_share', 500, FALSE), ('repeat_share', 200, FALSE)
+    (0, 'word_length', FALSE), (1, 'word_length', TRUE), (2, 'symbol_share', FALSE),
+    (3, 'line_share', FALSE), (4, 'repeat_share', FALSE)
 """
 
 _QUALITY = rf"""
@@ -56,25 +57,44 @@ WITH d AS (
     SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY b) AS upto,
         sum(n) OVER (PARTITION BY level, lang, source, measure) AS total
     FROM merged
-), quartile AS (
-    SELECT level, lang, source, measure, max(total) AS seen,
-        min(CASE WHEN 4 * upto >= total THEN b END) AS b1,
-        min(CASE WHEN 4 * upto >= 3 * total THEN b END) AS b3
-    FROM ranked GROUP BY level, lang, source, measure
+), quantile AS (
+    SELECT level, lang, source, measure, max(total) AS seen, q,
+        min(CASE WHEN 100 * upto >= q * total THEN b END) AS b
+    FROM ranked, (VALUES (5), (50), (95), (99)) AS t(q) GROUP BY level, lang, source, measure, q
 ), numbers AS (
-    SELECT level, lang, source, measure, seen,
-        CASE WHEN b1 < 64 THEN b1 ELSE ((b1 - (b1 // 32 - 1) * 32 + 1) << CAST(b1 // 32 - 1 AS INTEGER)) - 1 END AS q1,
-        CASE WHEN b3 < 64 THEN b3 ELSE ((b3 - (b3 // 32 - 1) * 32 + 1) << CAST(b3 // 32 - 1 AS INTEGER)) - 1 END AS q3
-    FROM quartile
+    SELECT level, lang, source, measure, seen, q,
+        CASE WHEN b < 64 THEN b WHEN q < 50 THEN (b - (b // 32 - 1) * 32) << CAST(b // 32 - 1 AS INTEGER)
+            ELSE ((b - (b // 32 - 1) * 32 + 1) << CAST(b // 32 - 1 AS INTEGER)) - 1 END AS v
+    FROM quantile
+), own AS (
+    SELECT t.level, t.lang, t.source, t.seen, f.k, f.below, floor((5 * t.v - 3 * m.v) / 2.0) AS lim
+    FROM numbers t JOIN numbers m ON m.q = 50 AND m.measure = t.measure AND m.level = t.level
+            AND m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source
+        JOIN (VALUES {_FENCES}) f(k, measure, below) ON f.measure = t.measure
+            AND t.q = CASE WHEN f.below THEN 5 WHEN f.k IN (0, 2) THEN 95 ELSE 99 END
+), vote AS (
+    SELECT * FROM own WHERE level = 0 AND seen >= 20
+), of_all AS (
+    SELECT k, CASE WHEN below THEN quantile_disc(lim, 0.5) ELSE -quantile_disc(-lim, 0.5) END AS whole
+    FROM vote GROUP BY k, below
+), of_language AS (
+    SELECT lang, k, greatest(least(mid, floor(3 * whole / 2)), floor(whole / 2)) AS mid
+    FROM (SELECT lang, k, CASE WHEN below THEN quantile_disc(lim, 0.5) ELSE -quantile_disc(-lim, 0.5) END AS mid
+        FROM vote GROUP BY lang, k, below) JOIN of_all USING (k)
+), held AS (
+    SELECT own.*, greatest(least(lim, floor(3 * m / 2)), floor(m / 2)) AS held_lim
+    FROM (SELECT own.*, coalesce(l.mid, a.whole) AS m
+        FROM own LEFT JOIN of_all a ON a.k = own.k
+            LEFT JOIN of_language l ON l.k = own.k AND own.level < 2 AND l.lang IS NOT DISTINCT FROM own.lang) own
 ), chosen AS (
-    SELECT r, x.measure, v, arg_min(q1, level) AS q1, arg_min(q3, level) AS q3
-    FROM long x JOIN numbers q ON x.measure = q.measure AND (q.seen >= 200 OR q.level = 2)
-        AND (q.level = 2 OR x.lang IS NOT DISTINCT FROM q.lang)
-        AND (q.level > 0 OR x.source IS NOT DISTINCT FROM q.source)
-    GROUP BY r, x.measure, v
+    SELECT r, h.k, h.below, x.v, arg_min(coalesce(h.held_lim, h.lim), h.level) AS lim
+    FROM long x JOIN (VALUES {_FENCES}) f(k, measure, below) ON f.measure = x.measure
+        JOIN held h ON h.k = f.k AND (h.seen >= 200 OR h.level = 2)
+        AND (h.level = 2 OR x.lang IS NOT DISTINCT FROM h.lang)
+        AND (h.level > 0 OR x.source IS NOT DISTINCT FROM h.source)
+    GROUP BY r, h.k, h.below, x.v
 ), broken AS (
-    SELECT DISTINCT r FROM chosen JOIN (VALUES {_FENCES}) f(measure, slack, below) USING (measure)
-    WHERE CASE WHEN below THEN v < q1 - 3 * (q3 - q1) - slack ELSE v > q3 + 3 * (q3 - q1) + slack END
+    SELECT DISTINCT r FROM chosen WHERE CASE WHEN below THEN v < lim ELSE v > lim END
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND r NOT IN (SELECT r FROM broken) AS kept

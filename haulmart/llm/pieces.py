@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
+from haulmart.llm.shared import Remembered
+
 MARK = "▁"
-# Encoded words that a worker remembers between batches.
-REMEMBERED = 400_000
+# Encoded words that a worker remembers between batches, and texts that it encodes at a time.
+REMEMBERED = 600_000
+TEXTS = 1_000
 # White runs go with the word after them; no piece spans the end of a word or a
 # line break, which has no piece of its own.
 _UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|\n|{MARK}+")
@@ -58,9 +61,9 @@ class Pieces:
             else:
                 self.ids[piece], self.scores[piece] = i, model.get_score(i)
                 self.surface.append(piece.replace(MARK, " ").encode())
-        self.longest = max(map(len, self.ids))
+        self.tails = {p[k:] for p in self.ids for k in range(1, len(p))}
         self._follows: dict[tuple[str, str], bool] = {}
-        self._words: dict[str, bytes] = {}
+        self._remembered = Remembered(REMEMBERED)
 
     def merged(self, letters: Iterable[str]) -> list[str]:
         """What the merges make of a row of letters: best score first, leftmost of equal."""
@@ -84,7 +87,7 @@ class Pieces:
 
     def encode_words(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """(word, pieces) of distinct words, walked depth first through their trie."""
-        scores, follows, longest = self.scores, self.follows, self.longest
+        scores, tails, follows, known = self.scores, self.tails, self.follows, self._follows.get
         forward: list[float] = [0.0]
         last: list[str] = [""]
         before = ""
@@ -94,21 +97,26 @@ class Pieces:
                 shared += 1
             del forward[shared + 1 :], last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                best, chosen = None, ""
-                for start in range(max(0, end - longest), end):
+                start = end - 1
+                piece = word[start:end]
+                ending = [piece]
+                # Nothing longer ends here if no piece ends like this.
+                while start and piece in tails:
+                    start -= 1
                     piece = word[start:end]
-                    score = scores.get(piece)
-                    if score is None:
-                        if end - start > 1:
+                    if piece in scores:
+                        ending.append(piece)
+                while ending:
+                    piece = ending.pop()
+                    start = end - len(piece)
+                    if start:
+                        allowed = known((last[start], piece))
+                        if not (follows(last[start], piece) if allowed is None else allowed):
                             continue
-                        score = 0.0
-                    if start and not follows(last[start], piece):
-                        continue
-                    score += forward[start]
-                    if best is None or score > best:
-                        best, chosen = score, piece
-                forward.append(best)
-                last.append(chosen)
+                    # The merges leave one step into a node, so the first found is the best.
+                    forward.append(forward[start] + scores.get(piece, 0.0))
+                    last.append(piece)
+                    break
             pieces, at = [], len(word)
             while at:
                 pieces.append(last[at])
@@ -128,14 +136,15 @@ class Pieces:
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of whole texts; null like empty, without ids."""
-        cut = [_UNIT.findall(f" {t}".replace(" ", MARK)) if t else [] for t in texts]
-        words = self._words
-        new = {u for units in cut for u in units if u not in words}
-        for word, pieces in self.encode_words(new):
-            words[word] = self._packed(pieces)
-        out = [np.frombuffer(b"".join(map(words.__getitem__, units)), "<i4") for units in cut]
-        if len(words) > REMEMBERED:
-            words.clear()
+        texts, out = list(texts), []
+        for at in range(0, len(texts), TEXTS):
+            cut = [_UNIT.findall(f" {t}".replace(" ", MARK)) if t else [] for t in texts[at : at + TEXTS]]
+            new = self._remembered.unknown(cut)
+            words = self._remembered.values
+            for word, pieces in self.encode_words(new):
+                words[word] = self._packed(pieces)
+            out += [np.frombuffer(b"".join(map(words.__getitem__, units)), "<i4") for units in cut]
+            self._remembered.trim()
         if len(self._follows) > 4 * REMEMBERED:
             self._follows.clear()
         return out
@@ -191,12 +200,18 @@ def checker(path: str):
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """All columns of ``docs`` with ``token_ids`` and ``n_tokens``; those names are replaced."""
+    """All columns of ``docs`` with ``token_ids`` and ``n_tokens``; those names are replaced.
+
+    A null or empty text has no ids; repeated rows come out repeated.
+    """
     ids = encoder(path or model_path())("text")
     return docs.withColumn("token_ids", ids).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 def round_trips(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 (of little-endian 32-bit ids) and round_trip of each row."""
+    """doc_id, n_tokens, ids_crc32 (of little-endian 32-bit ids) and round_trip of each row.
+
+    A null or empty text has no ids and makes the round trip.
+    """
     checked = docs.select("doc_id", checker(path or model_path())("text").alias("x"))
     return checked.select("doc_id", *[f"x.{c}" for c in CHECKED.fieldNames()])

@@ -7,9 +7,12 @@ are merged by adding counts, in map tasks, across sources and across languages,
 and come out the same in any order. Limits are fences read off the sketches,
 and documents meet them in a join.
 
-A sketch in which junk is common has a wide fence of its own. So no limit is
-wider, by more than its slack, than the median of those of the language's
-sources, where each source has one vote whatever its size.
+A limit is a tail quantile of the sketch, and beyond it a share of its distance
+from the median. A sketch in which junk is common has a wide limit of its own,
+and one of few documents may have a narrow one. So every limit is held between
+half and one and a half of the median of the language's sources, and those
+medians likewise by that of all sources; each source has one vote whatever its
+size.
 """
 
 from __future__ import annotations
@@ -31,22 +34,23 @@ MAX_REPEATED_PERCENT = 50
 
 @dataclass(frozen=True)
 class Fence:
-    """A limit at a quartile plus ``reach`` quartile ranges plus ``slack``, ``most`` at the most."""
+    """A limit at the ``tail`` percentile and as far beyond as 3/2 of its distance from the median."""
 
     measure: str
-    slack: int
-    reach: int = 3
-    below: bool = False
-    most: int | None = None
+    tail: int
+
+    @property
+    def below(self) -> bool:
+        return self.tail < 50
 
 
 # Measures are whole numbers: hundredths of a character, or parts of a thousand.
 FENCES = (
-    Fence("word_length", slack=100),
-    Fence("word_length", slack=100, below=True),
-    Fence("symbol_share", slack=100),
-    Fence("line_share", slack=200, most=900),
-    Fence("repeat_share", slack=200),
+    Fence("word_length", 95),
+    Fence("word_length", 5),
+    Fence("symbol_share", 95),
+    Fence("line_share", 99),
+    Fence("repeat_share", 99),
 )
 MEASURES = tuple(dict.fromkeys(f.measure for f in FENCES))
 # A sketch of fewer documents is replaced by that of the language, then of all.
@@ -153,11 +157,13 @@ def bin_of(value: Column) -> Column:
     )
 
 
-def value_of(bin_: Column) -> Column:
-    """The largest number of a bin."""
+def value_of(bin_: Column, least: bool = False) -> Column:
+    """The largest number of a bin, or its least."""
     shift = F.floor(bin_ / 32) - 1
-    top = (bin_ - shift * 32 + 1) * F.pow(F.lit(2.0), shift) - 1
-    return F.when(bin_ < 64, bin_).otherwise(top.cast("long"))
+    first = bin_ - shift * 32
+    wide = F.pow(F.lit(2.0), shift)
+    end = first * wide if least else (first + 1) * wide - 1
+    return F.when(bin_ < 64, bin_).otherwise(end.cast("long"))
 
 
 def sketches(rows: DataFrame) -> DataFrame:
@@ -200,33 +206,37 @@ def fences(sketch: DataFrame) -> DataFrame:
     ranked = merged.withColumns({
         "upto": F.sum("n").over(running), "total": F.sum("n").over(whole),
     })
-    quartile = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("total"), F.col("bin")))
-    quartiles = ranked.groupBy(*key).agg(
-        value_of(quartile(1)).alias("q1"),
-        value_of(quartile(3)).alias("q3"),
-        F.max("total").alias("seen"),
-    )
+    def at(q: int) -> Column:
+        found = F.min(F.when(100 * F.col("upto") >= q * F.col("total"), F.col("bin")))
+        return value_of(found, least=q < 50)
+
+    tails = sorted({f.tail for f in FENCES} | {50})
+    quantiles = ranked.groupBy(*key).agg(*[at(q).alias(f"q{q}") for q in tails], F.max("total").alias("seen"))
+
+    def limit(f: Fence) -> Column:
+        tail = F.col(f"q{f.tail}")
+        # Halves are cut off; no measure is below zero.
+        return F.floor((5 * tail - 3 * F.col("q50")) / 2)
+
     limits = {
-        f"limit_{i}": F.max(
-            F.when(
-                F.col("measure") == f.measure,
-                F.col("q1") - f.reach * (F.col("q3") - F.col("q1")) - f.slack
-                if f.below
-                else F.col("q3") + f.reach * (F.col("q3") - F.col("q1")) + f.slack,
-            )
-        )
-        for i, f in enumerate(FENCES)
+        f"limit_{i}": F.max(F.when(F.col("measure") == f.measure, limit(f))) for i, f in enumerate(FENCES)
     }
-    return quartiles.groupBy("level", "lang", "source").agg(
+    return quantiles.groupBy("level", "lang", "source").agg(
         F.max("seen").alias("seen"), *[v.alias(k) for k, v in limits.items()]
     )
 
 
+def _between(limit: Column, middle: Column) -> Column:
+    """``limit`` held from half to one and a half of ``middle``; as it is without one."""
+    low, high = F.floor(middle / 2), F.floor(3 * middle / 2)
+    return F.coalesce(F.greatest(F.least(limit, high), low), limit)
+
+
 def held(table: DataFrame) -> DataFrame:
-    """``table`` of fences, none wider than the median source of its language allows.
+    """``table`` of limits, each held by the median source of its language.
 
-    Of two middle sources the wider counts. The limits of everything are held
-    against the sources of all languages.
+    Of two middle sources the wider counts. The median of a language is held
+    by that of all sources, which also holds the limits of everything.
     """
     def middle(i: int, f: Fence) -> Column:
         limit = F.col(f"limit_{i}")
@@ -236,21 +246,18 @@ def held(table: DataFrame) -> DataFrame:
 
     votes = table.filter((F.col("level") == 0) & (F.col("seen") >= MIN_VOTE))
     middles = [middle(i, f) for i, f in enumerate(FENCES)]
-    by_language = votes.groupBy(F.col("lang").alias("of")).agg(*middles).withColumn("whole", F.lit(False))
-    of_all = votes.agg(*middles).select(F.lit(None).cast("string").alias("of"), "*", F.lit(True).alias("whole"))
-    # A row per language.
+    by_language = votes.groupBy(F.col("lang").alias("of"), F.lit(True).alias("voted")).agg(*middles)
+    # A row per language, and one row of all.
+    of_all = votes.agg(*[m.alias(f"all_{i}") for i, m in enumerate(middles)])
     met = table.join(
-        F.broadcast(by_language.unionByName(of_all)),
-        F.col("lang").eqNullSafe(F.col("of")) & ((F.col("level") == 2) == F.col("whole")),
-        "left",
-    )
+        F.broadcast(by_language),
+        F.col("lang").eqNullSafe(F.col("of")) & (F.col("level") < 2), "left",
+    ).join(F.broadcast(of_all))
     limits = {}
-    for i, f in enumerate(FENCES):
-        limit, mid = F.col(f"limit_{i}"), F.col(f"middle_{i}")
-        if f.below:
-            limits[f"limit_{i}"] = F.greatest(limit, mid - f.slack)
-        else:
-            limits[f"limit_{i}"] = F.least(limit, mid + f.slack, F.lit(f.most).cast("long"))
+    for i in range(len(FENCES)):
+        whole = F.col(f"all_{i}")
+        language = F.when(F.col("voted"), _between(F.col(f"middle_{i}"), whole)).otherwise(whole)
+        limits[f"limit_{i}"] = _between(F.col(f"limit_{i}"), language)
     return met.withColumns(limits).select(*table.columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,30 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Remembered:
+    """Values of distinct words that a worker has made, at most ``most`` between batches.
+
+    When they are too many, the words that came up again stay and the others go.
+    """
+
+    def __init__(self, most: int) -> None:
+        self.values: dict[str, bytes] = {}
+        self._most, self._again = most, set()
+
+    def unknown(self, rows: Iterable[list[str]]) -> set[str]:
+        """The words of ``rows`` that have no value yet."""
+        seen = set().union(*rows)
+        new = seen.difference(self.values)
+        self._again |= seen - new
+        return new
+
+    def trim(self) -> None:
+        if len(self.values) <= self._most:
+            return
+        stay = self._again if len(self._again) <= self._most // 2 else ()
+        self.values, self._again = {w: self.values[w] for w in stay}, set()
+
+
 def whole_row(rows: DataFrame, name: str = "row") -> Column:
     """All columns as one struct, so that names of helper columns cannot clash."""
     return F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias(name)

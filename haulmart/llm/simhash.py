@@ -148,7 +148,7 @@ def _unfold(prints: np.ndarray, left: np.ndarray, at: np.ndarray, width: int, fo
             links.append((i, j))
 
 
-def _meet(group: pd.DataFrame, width: int, at_once: int) -> pd.DataFrame:
+def _meet(group: pd.DataFrame, width: int, radius: int, at_once: int) -> pd.DataFrame:
     """Links between the fingerprints of one variant prefix, verified by their distance."""
     prints = group["print"].to_numpy().astype(np.int64).view(np.uint64)
     links: list[tuple[int, int]] = []
@@ -157,7 +157,7 @@ def _meet(group: pd.DataFrame, width: int, at_once: int) -> pd.DataFrame:
         _unfold(prints, left, np.arange(len(prints)), width, _Forest(len(prints)), links, at_once)
     pairs = np.array(links, np.int64).reshape(-1, 2)
     a, b = prints[pairs[:, 0]], prints[pairs[:, 1]]
-    near = np.bitwise_count(a ^ b) <= RADIUS
+    near = np.bitwise_count(a ^ b) <= radius
     return pd.DataFrame({"a": a[near].view(np.int64), "b": b[near].view(np.int64)})
 
 
@@ -166,8 +166,11 @@ def links(prints: DataFrame, radius: int = RADIUS, at_once: int = AT_ONCE) -> Da
 
     Every two fingerprints within the radius are connected by the pairs, not
     each of them by a pair of its own. ``prints`` has distinct longs in ``print``.
-    The prefix is as long as makes a group of even size fit one piece.
+    The prefix is as long as makes a group of even size fit one piece. The
+    radius is even, as members of a bucket are then within it of each other.
     """
+    if radius % 2:
+        raise ValueError(f"half of the radius must be a whole number, not that of {radius}")
     half = radius // 2
     ball = sum(math.comb(BITS, k) for k in range(half + 1))
     prefix = max(4, math.ceil(math.log2(max(2, prints.count() * ball / at_once))))
@@ -185,7 +188,7 @@ def links(prints: DataFrame, radius: int = RADIUS, at_once: int = AT_ONCE) -> Da
         F.col("way.left").alias("left"),
     )
     return sent.groupBy("prefix").applyInPandas(
-        lambda group: _meet(group, width, at_once), "a long, b long"
+        lambda group: _meet(group, width, radius, at_once), "a long, b long"
     )
 
 

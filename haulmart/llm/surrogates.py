@@ -28,7 +28,8 @@ from haulmart.llm.shared import keep, unpack, whole_row
 
 KEY = "corpus surrogates"
 SALTS = 16
-MAX_DRAWS = 60
+# Draws within an entity's own format; further ones lengthen it.
+OWN_FORMAT = 8
 
 # Forms of address, and the gender each tells (f, m, or n for neither).
 ADDRESS = {
@@ -73,36 +74,43 @@ _LETTERS = r"(?:[^\W\d_]" + _MARKS + ")+"
 _GAP = r"[ \t\xa0\u2009\u202f]"
 _ADDRESSED = "(?:" + "|".join(_TITLES) + r")\b"
 # After a form of address: its dot, white space and degrees.
-_AFTER = rf"\.?(?:-Ing\b)?(?:\.{_GAP}*|{_GAP}+)(?:(?:{'|'.join(DEGREES)})\.{_GAP}*)*"
+_AFTER = rf"\.?(?:-Ing\b)?(?:\.{_GAP}*+|{_GAP}++)(?:(?:{'|'.join(DEGREES)})\.{_GAP}*+){{0,12}}+"
 # Of a genitive only the name.
 _PART = (
     rf"(?!{_ADDRESSED})(?:[dDlL]['’]|[aA]l-|[eE]l-)?{_UPPER}{_MARKS}"
     rf"(?:{_LETTERS}(?:-{_LETTERS}|['’](?!s\b){_LETTERS})*|(?:-{_LETTERS}|['’](?!s\b){_LETTERS})+)"
 )
-_INITIAL = rf"{_UPPER}(?:\.(?:-?{_UPPER}\.)*|(?=(?:{_GAP}+{_UPPER}(?!\w)\.?)*{_GAP}+{_UPPER})(?!\w))"
-_PARTICLE = rf"(?:(?:{'|'.join(sorted(PARTICLES, key=len, reverse=True))}){_GAP}+)*"
+_INITIAL = rf"{_UPPER}(?:\.(?:-?{_UPPER}\.)*|(?={_GAP}++{_UPPER})(?!\w))"
+_PARTICLE = rf"(?:(?:{'|'.join(sorted(PARTICLES, key=len, reverse=True))}){_GAP}++)*+"
 _NAME = (
     rf"{_PARTICLE}(?:{_PART}|{_INITIAL}|{_UPPER}(?![\w'’-]))"
-    rf"(?:(?:{_GAP}+|(?<=\.)){_PARTICLE}(?:{_PART}|(?!{_ADDRESSED}){_INITIAL}))*"
+    rf"(?:(?:{_GAP}++|(?<=\.)){_PARTICLE}(?:{_PART}|(?!{_ADDRESSED}){_INITIAL}))*"
 )
 _NAME_PART = re.compile(rf"(?<!\w)(?:{_PART}|{_INITIAL}|{_UPPER}(?!\w))")
 _SECRETS = "(?:AKIA|ghp_|sk-|xox[bp]-)"
+# Every branch is tried once per run of its characters and never gives back what
+# it has taken in another way, so that the time grows with the text alone.
 _ENTITY = re.compile(
-    r"(?P<email>[\w.+%-]*\w[\w.+%-]*@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
+    r"(?P<email>(?<![\w.+%-])[.+%-]*+\w[\w.+%-]*+@[\w-]++(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\w)"
     r"|(?<![\w(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
-    r"|(?P<secret>(?<!\w)(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{32,128}(?!\w)"
+    r"|(?P<secret>(?<!\w)(?=[a-fA-F]*+[0-9])(?=[0-9]*+[a-fA-F])[0-9a-fA-F]{32,128}(?!\w)"
     rf"|\b{_SECRETS}\w{{12,}})"
-    rf"|(?P<title>\b{_ADDRESSED}(?:{_AFTER}{_ADDRESSED})*){_AFTER}(?P<name>{_NAME})"
+    rf"|(?P<title>\b{_ADDRESSED}(?:{_AFTER}{_ADDRESSED}){{0,8}}+){_AFTER}(?P<name>{_NAME})"
+)
+# Whatever holds an entity holds one of these: a digit of any script, the start
+# of a secret, or a title. Java's tables may be older than Python's, so digits
+# beyond 16 bits are told by Python. Each alternative first looks at one letter.
+_FAR_DIGITS = _ranges([c for c in range(0x10000, 0x110000) if unicodedata.category(chr(c)) == "Nd"])
+_FIRST = "".join(sorted({t[0] for t in _TITLES} | set("Agsx")))
+MAYBE = (
+    rf"[\p{{Nd}}@]|(?=[\x{{10000}}-\x{{10FFFF}}])[{_FAR_DIGITS}]"
+    rf"|(?=[{_FIRST}])(?:{_SECRETS}|(?:" + "|".join(_TITLES) + rf")(?:-Ing)?(?:\.|{_GAP}))"
 )
-# Whatever holds an entity holds one of these: a digit of any script as Python
-# tells them (Java's tables may be older), the start of a secret, or a title.
-_DIGITS = _ranges([c for c in range(0x110000) if unicodedata.category(chr(c)) == "Nd"])
-MAYBE = rf"[{_DIGITS}@]|{_SECRETS}|(" + "|".join(_TITLES) + rf")(-Ing)?(\.|{_GAP})"
 
 
 def canonical(kind: str, surface: str) -> str:
@@ -124,13 +132,14 @@ def _parts(m: re.Match) -> list[tuple[int, int, str, str]]:
     told = {_GENDER[t] for t in re.findall(_ADDRESSED, m["title"])} - {"n"}
     gender = told.pop() if len(told) == 1 else "n"
     parts = [(m.start("name") + p.start(), p.group()) for p in _NAME_PART.finditer(m["name"])]
-    whole = [i for i, (_, p) in enumerate(parts) if re.fullmatch(_PART, p)]
+    whole = {i: p for i, (_, p) in enumerate(parts) if re.fullmatch(_PART, p)}
+    surname = max(whole, default=-1)
     found = []
     for i, (at, part) in enumerate(parts):
         if i not in whole:
             found.append((at, at + len(part), "initial", canonical("initial", part)))
             continue
-        kind = "surname" if i == whole[-1] else f"given_{gender}"
+        kind = "surname" if i == surname else f"given_{gender}"
         for piece in re.split(rf"(?<=\w\w)-(?={_UPPER}\w)", part):
             found.append((at, at + len(piece), kind, canonical(kind, piece)))
             at += len(piece) + 1
@@ -220,8 +229,19 @@ def _script(text: str) -> str:
 
 
 def surrogate(key: str, kind: str, value: str, number: int) -> str:
-    """The canonical surrogate of a canonical entity at its draw ``number``."""
+    """The canonical surrogate of a canonical entity at its draw ``number``.
+
+    Where the values of a format are as good as used up, ``OWN_FORMAT`` draws
+    fail. Each further one is longer by a digit or letter (an IPv4 address by a
+    whole number), so every entity finds a value in the end.
+    """
     draw = _Draw(key, kind, value, str(number))
+    longer = max(0, number + 1 - OWN_FORMAT)
+    if longer and kind == "email":
+        local, _, domain = value.rpartition("@")
+        value = f"{local}{'x' * longer}@{domain}"
+    elif longer and kind in ("phone", "ssn", "card", "iban", "secret"):
+        value += "0" * longer
     if kind == "email":
         local, _, domain = value.rpartition("@")
         # A domain is drawn by itself, so addresses that share one still do.
@@ -231,7 +251,7 @@ def surrogate(key: str, kind: str, value: str, number: int) -> str:
     if kind == "ip":
         first = value.split(".")[0]
         head = [first] if first in ("10", "127") else [str(1 + draw.below(223))]
-        return ".".join(head + [str(1 + draw.below(254)) for _ in range(3)])
+        return ".".join(head + [str(1 + draw.below(254)) for _ in range(3 + longer)])
     if kind == "phone":
         # An international number keeps its country code's first digit.
         held = 1 if len(value) > 10 else 0
@@ -265,7 +285,8 @@ def render(surface: str, kind: str, chosen: str) -> str:
     """A canonical surrogate in the format in which the entity stands in the text."""
     if kind in ("phone", "ssn", "card", "iban"):
         left = iter(chosen)
-        return "".join(next(left) if c.isalnum() else c for c in surface)
+        # A longer one than the entity ends with what is left over.
+        return "".join([*(next(left) if c.isalnum() else c for c in surface), *left])
     if kind in ("ip", "secret"):
         return chosen
     if surface.isupper() or kind == "initial":
@@ -338,13 +359,14 @@ def assign(known: DataFrame, key: str = KEY) -> DataFrame:
 
     Of the entities that draw one surrogate, one that has held it stays, else
     the least. A surrogate that is an entity of the corpus is always given up.
-    Each round writes its draws to the shared folder.
+    Each round writes its draws to the shared folder. As draws lengthen a
+    crowded format, the rounds end.
     """
     known = known.withColumn("space", _space())
     real = known.select(F.col("space").alias("real_space"), F.col("value").alias("real_value")).distinct()
     draw = _drawer(key)
     now = known.withColumn("number", F.lit(0)).withColumn("settled", F.lit(False))
-    for _ in range(MAX_DRAWS):
+    while True:
         drawn = keep(now.withColumn("chosen", draw("kind", "value", "number")), "draws")
         first = drawn.groupBy(F.col("space").alias("s"), F.col("chosen").alias("c")).agg(
             F.min(F.struct(~F.col("settled"), "kind", "value")).alias("first")
@@ -372,7 +394,6 @@ def assign(known: DataFrame, key: str = KEY) -> DataFrame:
         if now.filter(~F.col("settled")).isEmpty():
             return now.select("kind", "value", "chosen")
         now = now.drop("chosen")
-    raise ValueError(f"no distinct surrogates after {MAX_DRAWS} draws: a format has too few values")
 
 
 def replaced(docs: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:

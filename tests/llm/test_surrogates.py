@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,10 +66,74 @@ def test_surrogates_are_distinct_and_no_entities(spark):
     assert not {r.chosen for r in rows} & {r.value for r in rows}
 
 
-def test_a_full_format_is_refused(spark):
-    known = spark.createDataFrame([("ssn", str(i)) for i in range(10)], "kind string, value string")
-    with pytest.raises(ValueError):
-        surrogates.assign(known)
+def test_a_crowded_format_is_lengthened(spark):
+    rows = [("ssn", str(i)) for i in range(10)] + [("email", f"{c}@mail.com") for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("phone", f"{i:04d}") for i in range(6000)] + [("ip", f"10.0.0.{i}") for i in range(3)]
+    got = surrogates.assign(spark.createDataFrame(rows, "kind string, value string")).collect()
+    assert sorted((r.kind, r.value) for r in got) == sorted(rows)
+    for kind in ("ssn", "email", "phone", "ip"):
+        chosen = [r.chosen for r in got if r.kind == kind]
+        assert len(set(chosen)) == len(chosen) and not set(chosen) & {v for k, v in rows if k == kind}
+    # Half of the crowded one still keeps its length, and what is longer ends in more digits.
+    assert sum(len(r.chosen) == 4 for r in got if r.kind == "phone") > 3000
+    assert surrogates.render("01-23", "phone", "987654") == "98-7654"
+
+
+LONG = 200_000
+
+
+@pytest.mark.parametrize("unit", [
+    "x", "x1", "0123456789abcdef", "Ab3/", ".", "a.", "a@", "a@b.", "a@b-", "1 ", "1-", "+1 ", "(1)", "%", "AA11 ", "AKIA",
+    "Mr ", "Mr A ", "Mr.", "A.", "Aa ", "de ", "med.", "Ab-", "Mr A b ",
+])
+def test_long_runs_end(unit):
+    for head in ("", "Mr ", "a@", "DE89 ", "Dr."):
+        begun = time.process_time()
+        surrogates.entities(head + unit * (LONG // len(unit)) + " 1")
+        assert time.process_time() - begun < 5
+
+
+def test_whole_documents_equal_a_plain_replacement(docs_of):
+    more = [f"user{i % 7}@mail.org wrote to {i}@x.net, Mr Tom{'abc'[i % 3]} Wolf at 10.0.{i}.1; SSN {100 + i}-45-6789" for i in range(40)]
+    texts = TEXTS + more
+    spans = {i: surrogates.entities(t) for i, t in enumerate(texts)}
+    named = lambda k: k.startswith("given") or k == "surname"
+    space = lambda k: "name" if named(k) else k
+    kinds = {}
+    for found in spans.values():
+        for _, _, kind, value in found:
+            if kind != "initial":
+                kinds.setdefault((space(kind), value), set()).add(kind)
+
+    def kind_of(key):
+        told = kinds[key]
+        if key[0] != "name":
+            return key[0]
+        if ("given_f" in told) != ("given_m" in told):
+            return "given_f" if "given_f" in told else "given_m"
+        return "given_n" if any(k.startswith("given") for k in told) else "surname"
+
+    number, chosen, settled = dict.fromkeys(kinds, 0), {}, set()
+    while len(settled) < len(kinds):
+        drawn = {k: surrogates.surrogate(surrogates.KEY, kind_of(k), k[1], number[k]) for k in kinds}
+        first = {}
+        for k in sorted(kinds, key=lambda k: (k not in settled, kind_of(k), k[1])):
+            first.setdefault((k[0], drawn[k]), k)
+        settled = {k for k in kinds if first[k[0], drawn[k]] == k and (k[0], drawn[k]) not in kinds}
+        chosen = {k: drawn[k] for k in settled}
+        for k in kinds.keys() - settled:
+            number[k] += 1
+    want = {}
+    for i, t in enumerate(texts):
+        new = [(a, b, k, chosen[space(k), v] if k != "initial" else surrogates.surrogate(surrogates.KEY, k, v, 0)) for a, b, k, v in spans[i]]
+        out, at = "", 0
+        for a, b, kind, value in sorted(new):
+            mine = next((x for x in (kind_of((space(kind), t[a:b].lower())),)) if named(kind) and (space(kind), t[a:b].lower()) in kinds else (kind,))
+            out += t[at:a] + surrogates.render(t[a:b], mine if isinstance(mine, str) else mine[0], value)
+            at = b
+        want[i] = None if t is None else out + t[at:]
+    got, _ = out_of(docs_of(texts))
+    assert {i: t for i, (t, _) in got.items()} == want
 
 
 def test_another_key_gives_other_surrogates(docs_of, found):
