@@ -78,9 +78,7 @@ def test_odd_rows(spark):
     got = sorted(tuple(r) for r in negatives.hard_negatives(frame, F.col("id") == 0).collect())
     whole = [(i, l, [float(np.floor(256 * np.float64(np.float32(x)))) for x in v] + [0.0] * (3 - len(v))) for i, l, v in raw
              if i is not None and l is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    assert got == brute([(i or 0, l, v) if i == 0 else (i + 1000, l, v) for i, l, v in whole], 1000) or got == [
-        (a, p, n, j, x, y) for a, p, n, j, x, y in got if a == 0 and p == 1 and j in (2, 9, 10)]
-    assert len(got) == 2 * 3 and [g[3] for g in got] == [2, 2, 10, 10, 9, 9] or sorted({g[3] for g in got}) == [2, 9, 10]
+    assert got == brute(whole, 1_000_000) and len({g[3] for g in got}) == 3
     assert negatives.hard_negatives(frame.limit(0), F.col("id") == 0).count() == 0
     assert negatives.hard_negatives(frame, F.lit(False)).count() == 0
 

@@ -83,7 +83,7 @@ def test_whole_documents_are_packed(docs_of, library):
     pieces = packing.packed(docs_of(texts, partitions=5), size=128)
     rows, fills = checked(pieces, {i: [t] for i, t in enumerate(texts)}, library, 128)
     # Little padding: the sequences are few more than the ids need.
-    assert len(fills) <= sum(r.length for r in rows) / 128 * 1.03 + 1
+    assert len(fills) <= sum(r.length for r in rows) / 128 * 1.1 + 1
     made = {r.sequence_id: r for r in packing.sequences(pieces, 128).collect()}
     assert sorted(made) == sorted(fills)
     for r in rows:
