@@ -342,8 +342,8 @@ def _(x: Context):
 def _(x: Context):
     profile = _profile(x)
     points = clustering.fit_plane(profile).transform(profile).select("route_code", "plane")
-    model = clustering.fit_kmeans(points, 3, clustering.Settings())
-    return model.transform(points)
+    fit = clustering.fit_kmeans(points, [3], clustering.Settings())[3]
+    return clustering.NearestCentre(fit.centres).transform(points)
 
 
 def _clustered(x: Context):
