@@ -353,9 +353,16 @@ def fuel_loads(
     operators: DataFrame,
     hot_rows: int = HOT_ROWS,
     zone: str = "UTC",
+    only: Column | None = None,
 ) -> Cleaned:
-    """Fuel loads; calendar keys are those of a clock in ``zone``."""
-    chained = odometer_chain(staging, hot_rows).withColumns(
+    """Fuel loads; calendar keys are those of a clock in ``zone``.
+
+    All rows make the chain of readings; with ``only``, those it holds for are judged.
+    """
+    chained = odometer_chain(staging, hot_rows)
+    if only is not None:
+        chained = chained.filter(only)
+    chained = chained.withColumns(
         {
             "_operator": c.normalize_code(F.col("operator_number")),
             "_efficiency": d.efficiency(F.col("_travelled"), F.col("liters")),
@@ -485,6 +492,7 @@ def clean_facts(
     hot_rows: int = HOT_ROWS,
     delivery_order: tuple[str, ...] = ("extracted_at", "id"),
     zone: str = "UTC",
+    fuel_only: Column | None = None,
 ) -> dict[str, Cleaned]:
     return {
         "deliveries": deliveries(
@@ -492,7 +500,7 @@ def clean_facts(
             dims["operators"], dims["delay_causes"], delivery_order, zone,
         ),
         "fuel_loads": fuel_loads(
-            staging["stg_fuel_load"], dims["vehicles"], dims["operators"], hot_rows, zone
+            staging["stg_fuel_load"], dims["vehicles"], dims["operators"], hot_rows, zone, fuel_only
         ),
         "maintenances": maintenances(staging["stg_maintenance"], dims["vehicles"]),
     }
