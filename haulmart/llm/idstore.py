@@ -39,7 +39,7 @@ BUCKET_KEYS = 500_000
 GAMMA = 2.0
 MAX_LEVELS = 32
 # Encoded words that a worker remembers between batches, and texts that it encodes at a time.
-REMEMBERED = 700_000
+REMEMBERED = 1_500_000
 TEXTS = 1_000
 # What the tokenizer takes for white space. Python's also has U+001C to U+001F,
 # which the tokenizer gives ids.
