@@ -193,6 +193,23 @@ def _(x: Context):
     )
 
 
+_CATEGORIES = features.CATEGORICAL_FEATURES
+
+
+@query("m02_encoding", "folio s, width i, ones i", f"""
+SELECT folio, {len(features.NUMERIC_FEATURES)} + (SELECT {" + ".join(f"count(DISTINCT {c})" for c in _CATEGORIES)}
+    FROM features) AS width,
+  {" + ".join(f"CASE WHEN {c} IS NULL THEN 0 ELSE 1 END" for c in _CATEGORIES)} AS ones FROM features""")
+def _(x: Context):
+    """Width of the feature vector, and how many of its categories are set."""
+    frame = _frame(x)
+    array, numbers = vector_to_array("features"), len(features.NUMERIC_FEATURES)
+    return Pipeline(stages=supervised.preprocessor()).fit(frame).transform(frame).select(
+        "folio", F.size(array).alias("width"),
+        F.size(F.filter(F.slice(array, numbers + 1, F.size(array)), lambda v: v == 1)).alias("ones"),
+    )
+
+
 def _fitted(x: Context, name: str):
     train, test = _halves(x)
     model = supervised.candidates(FULL)[name](train)
@@ -256,6 +273,22 @@ def _(x: Context):
     )
 
 
+@query("s11_same_scores", "is_delayed i, rows i, same i", """
+SELECT is_delayed, CAST(ceil(count(*) * 0.2) AS BIGINT) AS rows, CAST(ceil(count(*) * 0.2) AS BIGINT) AS same
+FROM features GROUP BY 1""")
+def _(x: Context):
+    """Held-out rows by class, and those that a saved and reloaded model scores alike."""
+    model, scored = _fitted(x, supervised.LOGISTIC)
+    path = x.scratch("model-again")
+    model.write().overwrite().save(path)
+    again = supervised.with_score(
+        supervised.load_model(path).transform(scored.select("folio", *features.FEATURE_COLUMNS))
+    ).select("folio", col("score").alias("again"))
+    return scored.join(again, "folio", "left").groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(col("score") - col("again")) < 1e-12).alias("same")
+    )
+
+
 # -- clusters -----------------------------------------------------------------
 
 
@@ -346,6 +379,18 @@ def _(x: Context):
     return clustering.NearestCentre(fit.centres).transform(points)
 
 
+@query("m14_cluster_sizes", "routes i, clusters i",
+       "SELECT count(*) AS routes, 3 AS clusters FROM profile")
+def _(x: Context):
+    """Points of a model of three clusters by the sizes that its last pass counted."""
+    profile = _profile(x)
+    points = clustering.fit_plane(profile).transform(profile).select("route_code", "plane")
+    fit = clustering.fit_kmeans(points, [3], clustering.Settings())[3]
+    return x.spark.createDataFrame(
+        [(sum(fit.sizes), sum(n > 0 for n in fit.sizes))], "routes bigint, clusters bigint"
+    )
+
+
 def _clustered(x: Context):
     """The whole clustering job of a session and folder, with its own settings."""
     key = (x.spark.sparkContext.applicationId, x.sf_dir)
@@ -362,6 +407,20 @@ def _(x: Context):
     return x.spark.createDataFrame(_clustered(x).sweep)
 
 
+@query("m15_inertia", "k i, falls i", "SELECT unnest(range(2, 11)) AS k, 1 AS falls")
+def _(x: Context):
+    """Whether the best model of each k costs less than that of one cluster fewer."""
+    cost = {r["k"]: r["inertia"] for r in _clustered(x).sweep}
+    return x.spark.createDataFrame(
+        [(k, int(cost[k] < cost.get(k - 1, float("inf")))) for k in cost], "k bigint, falls bigint"
+    )
+
+
+@query("m18_each_route_once", "route_code s, placed i", "SELECT route_code, 1 AS placed FROM profile")
+def _(x: Context):
+    return _clustered(x).assignments.groupBy("route_code").agg(F.count(F.lit(1)).alias("placed"))
+
+
 _GROUP = "CAST(split_part(route_code, '-', 2) AS BIGINT) % 9"
 
 
