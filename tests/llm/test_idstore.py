@@ -83,3 +83,16 @@ def test_keys_of_one_hash_are_told_apart(monkeypatch):
     data = idstore.index_bytes(keys, entries)
     found, got = idstore.looked_up(data, np.r_[keys, keys[:1]], np.array([1, 2, 3, 4, 9], np.uint32))
     assert found.tolist() == [True] * 4 + [False] and got["offset"][:4].tolist() == [10, 20, 30, 40]
+
+
+def test_letters_whose_lower_case_is_several_stay_with_their_signs():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(idstore.tokenizer_path())
+    several = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000 and len(chr(c).lower()) > 1]
+    letters = [*several, *"ßŉΣſKÅǅẞ"]
+    texts = [f"ab{c}{s}x {c}{s} {c}b{s}{s} AB{c} Ab{s}" for c in letters for s in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]
+    texts += ["BELEDİYESİ, ANKARA", "ANKARA BELEDİYESİ.", "İ.", "don't!! Don'T, x_y_, 3rd."]
+    made = idstore.WordEncoder(idstore.tokenizer_path()).payloads(texts)
+    want = [e.ids + [idstore.END_ID] for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(p, idstore.WIDTH).tolist() for p in made] == want
