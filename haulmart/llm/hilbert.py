@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StringType
 
 from haulmart.llm.shared import keep, whole_row
 
@@ -56,25 +56,59 @@ def curve_index(cells: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def order_of(text: Column) -> Column:
-    """A number that sorts as the first seven bytes of a string do; null and empty: 0."""
-    head = F.rpad(F.hex(F.substring(text.cast("binary"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(0).cast("long"))
-
-
-def quantised(value: Column, cuts: Sequence[int]) -> Column:
+def quantised(value: Column, cuts: Sequence[int | str]) -> Column:
     """How many cut points a value reaches; null counts as below all."""
     reached = [F.when(value >= c, 1).otherwise(0) for c in cuts]
     return sum(reached, F.lit(0)).cast("int")
 
 
-def _cuts(rows: DataFrame, columns: Sequence[str], depth: int) -> dict[str, list[int]]:
+def _number_cuts(rows: DataFrame, columns: Sequence[str], depth: int) -> dict[str, list[int]]:
     """Quantiles that cut each column into 2**depth cells, from a mergeable sketch."""
+    if not columns:
+        return {}
     shares = [i / (1 << depth) for i in range(1, 1 << depth)]
     found = rows.agg(*[F.percentile_approx(c, shares, ACCURACY).alias(c) for c in columns]).first()
     return {c: sorted(set(found[c] or [])) for c in columns}
 
 
+def _string_cuts(rows: DataFrame, columns: Sequence[str], depth: int) -> dict[str, list[str]]:
+    """Exact quantiles of whole strings that cut each column into 2**depth cells.
+
+    Distinct values are counted first, with map-side combining, and spread over
+    tasks by a range exchange; the rows of earlier tasks come from one sum per
+    task. Only the cuts reach the driver, fewer than 2**depth per column.
+    """
+    if not columns:
+        return {}
+    cells = 1 << depth
+    each = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).alias("value")) for c in columns])
+    )
+    counts = rows.select(each.alias("x")).filter(F.col("x.value").isNotNull()).groupBy(
+        F.col("x.of").alias("of"), F.col("x.value").alias("value")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    spread = keep(
+        counts.repartitionByRange("of", "value").withColumn("task", F.spark_partition_id()), "values"
+    )
+    per_task = spread.groupBy(F.col("of").alias("dim"), F.col("task").alias("at")).agg(F.sum("n").alias("held"))
+    of_dim = Window.partitionBy("dim")
+    earlier = of_dim.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_task.select(
+        "dim", "at", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
+        F.sum("held").over(of_dim).alias("total"),
+    )
+    running = Window.partitionBy("of", "task").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # One row per task and column, whatever the data.
+    ranked = spread.join(
+        F.broadcast(offsets), (F.col("of") == F.col("dim")) & (F.col("task") == F.col("at"))
+    ).withColumn("upto", F.col("before") + F.sum("n").over(running))
+    found = ranked.groupBy("of").agg(F.array(*[
+        F.min(F.when(F.col("upto") * cells >= i * F.col("total"), F.col("value"))) for i in range(1, cells)
+    ]).alias("cuts"))
+    cuts = {r["of"]: sorted(set(r["cuts"])) for r in found.collect()}
+    return {c: cuts.get(c, []) for c in columns}
+
+
 def sorted_runs(docs: DataFrame, dimensions: dict[str, Column], depth: int = DEPTH) -> DataFrame:
     """``docs`` as written in the order of the curve, with ``place`` (global, from 0).
 
@@ -82,12 +116,15 @@ def sorted_runs(docs: DataFrame, dimensions: dict[str, Column], depth: int = DEP
     neighbours, and then by doc_id. The order is a range exchange, which spreads
     any hot cell over several tasks; files are runs of it. Places are the row
     numbers inside a task plus the rows of the tasks before, and only the counts
-    per task, one row each, are summed in one place.
+    per task, one row each, are summed in one place. Dimensions are numbers or
+    strings; strings are compared whole, and a null lies below all values.
     """
     names = [f"dim_{d}" for d in dimensions]
-    values = docs.select(*[v.cast("long").alias(n) for n, v in zip(names, dimensions.values())])
-    cuts = _cuts(values, names, depth)
-    cells = [quantised(v.cast("long"), cuts[n]) for n, v in zip(names, dimensions.values())]
+    values = docs.select(*[v.alias(n) for n, v in zip(names, dimensions.values())])
+    strings = [f.name for f in values.schema if isinstance(f.dataType, StringType)]
+    numbers = [n for n in names if n not in strings]
+    cuts = _number_cuts(values, numbers, depth) | _string_cuts(values, strings, depth)
+    cells = [quantised(v, cuts[n]) for n, v in zip(names, dimensions.values())]
 
     def along(*columns: pd.Series) -> pd.Series:
         return pd.Series(curve_index(np.stack(columns, 1), depth))
@@ -124,8 +161,8 @@ def cut(placed: DataFrame, total: int, shards: int) -> DataFrame:
 def sharded(docs: DataFrame, shards: int = 8, depth: int = DEPTH) -> DataFrame:
     """(row, doc_id, size, text_crc32, curve, place, shard, slot) of every row of ``docs``.
 
-    ``row`` is the input row with all its columns. Dimensions are language, source, size and doc_id. Size is the text's UTF-8
-    bytes plus one; a null text has none and checksum zero. Repeated rows keep
+    ``row`` is the input row with all its columns. Dimensions are language,
+    source, size and doc_id. Size is the text's UTF-8 bytes plus one; a null text has none and checksum zero. Repeated rows keep
     a slot each. The law is ``rows``: shard counts differ by one at most.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -135,8 +172,8 @@ def sharded(docs: DataFrame, shards: int = 8, depth: int = DEPTH) -> DataFrame:
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
     dimensions = {
-        "lang": order_of(F.col("row.lang")), "source": order_of(F.col("row.source")),
-        "size": F.col("size"), "doc": F.col("doc_id"),
+        "lang": F.col("row.lang").cast("string"), "source": F.col("row.source").cast("string"),
+        "size": F.col("size"), "doc": F.col("doc_id").cast("long"),
     }
     placed = sorted_runs(rows, dimensions, depth)
     return cut(placed, placed.count(), shards)

@@ -51,3 +51,20 @@ def test_files_have_narrow_ranges(spark, docs_of, tmp_path):
 
 def test_empty_table(docs_of):
     assert hilbert.sharded(docs_of([(1, "x", "en", "s")]).limit(0)).count() == 0
+
+
+def test_sources_that_begin_alike_are_told_apart(docs_of):
+    rows = [(i, "x" * (i % 50), "en", f"https://crawl.example/part-{i * 7 % 8}") for i in range(2048)]
+    rows += [(5000 + i, "hot", "en", "https://crawl.example/part-3") for i in range(1024)]
+    rows += [(9000, "none", "en", None), (9001, "empty", None, "")]
+    out = hilbert.sharded(docs_of(rows), 32).selectExpr("shard", "row.source AS source").toPandas()
+    assert out.groupby("shard")["source"].nunique().mean() <= 4
+
+
+def test_string_cuts_are_exact_quantiles(spark):
+    words = [f"common/{i * i % 97:03d}" for i in range(3000)] + ["common/050"] * 1500 + [None] * 40
+    rows = spark.createDataFrame([(w,) for w in words], "w string").repartition(16)
+    held = sorted(w for w in words if w is not None)
+    want = sorted({held[-(-i * len(held) // 8) - 1] for i in range(1, 8)})
+    assert hilbert._string_cuts(rows, ["w"], 3) == {"w": want}
+    assert hilbert._string_cuts(rows.limit(0), ["w"], 3) == {"w": []}
