@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 
 from haulmart.operators.splitting import split
-from haulmart.plans import clustering, features, supervised, training
+from haulmart.plans import clustering, features, supervised, training, widths
 from haulmart.showcase import oracle as o
 from haulmart.showcase.registry import Context, query
 
@@ -360,6 +360,17 @@ def _(x: Context):
     return x.spark.range(1).select(F.lit(best).alias("k"))
 
 
+# The same with distances in place of their squares.
+EUCLIDEAN = SILHOUETTES.replace("sum((p.x", "sum(sqrt((p.x").replace("(p.y - q.y)) AS", "(p.y - q.y))) AS")
+
+
+@query("m16_euclidean_choose_k", "k i",
+       f"SELECT k FROM ({EUCLIDEAN}) s ORDER BY silhouette DESC, k LIMIT 1")
+def _(x: Context):
+    best = clustering.choose_k(widths.euclidean_silhouettes(_points(x), _KS))
+    return x.spark.range(1).select(F.lit(best).alias("k"))
+
+
 def _davies_sql(k: int) -> str:
     points = POINTS.replace("{l}", f"origin % {k}")
     centres = f"""
