@@ -48,7 +48,7 @@ def contains(column: Column, term: str) -> Column:
     return F.upper(column).contains(term.upper())
 
 
-def _ordered(name: str) -> Column:
+def ordered(name: str) -> Column:
     if name.startswith("-"):
         return F.col(name[1:]).desc_nulls_first()
     return F.col(name).asc_nulls_last()
@@ -90,7 +90,7 @@ def page(
     spec = LISTINGS[table]
     return (
         matching(sources, table, term)
-        .orderBy(_ordered(spec.order), "id")
+        .orderBy(ordered(spec.order), "id")
         .offset((number - 1) * spec.page)
         .limit(spec.page)
     )

@@ -46,6 +46,9 @@ class Run:
     narrow: bool = True
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     pending: list[tuple] = field(default_factory=list)
+    rejected: int = 0
+    # Clean tables as written by this run, with their numbers of rows.
+    sizes: dict[str, tuple[DataFrame, int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:
@@ -91,37 +94,42 @@ class Run:
             for table in SOURCES:
                 with self.phase("EXTRACT", table) as tally:
                     rows = land(sources, table, self.run_id, at, resume, self.zone)
-                    self.store.land(table, rows, self.full)
-                    landed = self.store.staging(table).filter(F.col("run_id") == self.run_id)
-                    tally.read = tally.written = landed.count()
+                    tally.read = tally.written = self.store.land(table, self.run_id, rows)
                 counts[table] = tally.written
+            # Not before all tables lie there, so a failed extract replaces nothing.
+            self.store.list_landing(self.run_id, self.full, _now())
         finally:
             self.flush()
         return counts
 
     def _settle(self, group: str, cleaned: transform.Cleaned, table: str) -> DataFrame:
-        """Write one clean table and its rejects; count what was written."""
+        """Write one clean table and its rejects, counted as they are written."""
         with self.phase("TRANSFORM", table) as tally:
-            cleaned = cleaned.settled(
-                lambda rows, name: self.store.work(self.run_id, f"{group}_{name}", rows)
-            )
-            tally.read = cleaned.verdict.judged.count()
-            rows = self.store.work(self.run_id, group, cleaned.rows)
-            tally.written = rows.count()
-            rejected = self.store.work(
-                self.run_id,
-                f"{group}_rejected",
-                cleaned.rejected.select(
-                    F.lit(self.run_id).alias("run_id"),
-                    F.lit(table).alias("source_table"),
-                    "source_pk", "rule", "description", "raw_payload",
-                    F.lit(_now()).alias("detected_at"),
-                ),
+            counts: dict[str, int] = {}
+
+            def keep(rows: DataFrame, name: str) -> DataFrame:
+                kept, counts[name] = self.store.counted_work(self.run_id, f"{group}_{name}", rows)
+                return kept
+
+            cleaned = cleaned.settled(keep)
+            tally.read = counts["judged"]
+            rows, tally.written = self.store.counted_work(self.run_id, group, cleaned.rows)
+            self.sizes[group] = rows, tally.written
+            rejected = cleaned.rejected.select(
+                F.lit(self.run_id).alias("run_id"),
+                F.lit(table).alias("source_table"),
+                "source_pk", "rule", "description", "raw_payload",
+                F.lit(_now()).alias("detected_at"),
             )
-            tally.rejected = rejected.count()
-            self.store.append("etl_error", rejected)
+            tally.rejected = self.store.append("etl_error", rejected)
+            self.rejected += tally.rejected
         return rows
 
+    def _size(self, group: str, rows: DataFrame) -> int:
+        """Rows of a clean table, counted again only if another one stands in for it."""
+        written, n = self.sizes.get(group, (None, 0))
+        return n if rows is written else rows.count()
+
     def transform(self) -> dict[str, DataFrame]:
         staging = {table: self.store.staging(table) for table in SOURCES}
         groups: dict[str, DataFrame] = {}
@@ -184,16 +192,15 @@ class Run:
             with self.phase("LOAD", spec.table) as tally:
                 existing = store.dimension(spec.table, base)
                 incoming = groups[spec.group].select(spec.natural, *spec.attributes)
-                last = existing.agg(F.max(spec.surrogate)).first()[0] or 0
-                store.write(
+                last = (existing.agg(F.max(spec.surrogate)).first()[0] or 0) if base else 0
+                counts[spec.table] = store.write(
                     spec.table,
                     self.run_id,
                     upsert(existing, incoming, spec.surrogate, spec.natural,
                            spec.attributes, last),
                 )
                 dims[spec.table] = store.dimension(spec.table, [self.run_id])
-                tally.read = tally.written = incoming.count()
-            counts[spec.table] = dims[spec.table].count()
+                tally.read = tally.written = self._size(spec.group, groups[spec.group])
 
         # Date and time survive a rebuild.
         dated = [groups[g] for g, _ in FACTS.values()]
@@ -215,17 +222,19 @@ class Run:
         for table, (built, key) in calendars.items():
             with self.phase("LOAD", table) as tally:
                 kept = store.dimension(table, visible)
-                store.write(table, self.run_id, calendar.add_missing(kept, built, key))
-                tally.written = store.dimension(table, [self.run_id]).count()
+                tally.written = store.write(
+                    table, self.run_id, calendar.add_missing(kept, built, key)
+                )
             counts[table] = tally.written
 
         for fact, (group, _) in FACTS.items():
             with self.phase("LOAD", fact) as tally:
-                tally.read = groups[group].count()
+                tally.read = self._size(group, groups[group])
                 existing = store.fact(fact, base)
-                store.write(fact, self.run_id, fact_rows(groups[group], existing, dims, fact))
-                tally.written = store.fact(fact, [self.run_id]).count()
-            counts[fact] = store.fact(fact, [*base, self.run_id]).count()
+                tally.written = store.write(
+                    fact, self.run_id, fact_rows(groups[group], existing, dims, fact)
+                )
+            counts[fact] = tally.written + (existing.count() if base else 0)
 
         store.commit(self.run_id, rebuilt or not visible, _now())
         return counts
@@ -266,5 +275,4 @@ def run_etl(
     extracted = run.extract(sources)
     groups = run.transform()
     loaded = run.load(groups)
-    rejected = run.store.errors().filter(F.col("run_id") == run.run_id).count()
-    return Summary(run.run_id, extracted, loaded, rejected)
+    return Summary(run.run_id, extracted, loaded, run.rejected)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from haulmart.plans import changes, listing, quality
+from haulmart.plans import changes, listing, pages, quality
 from haulmart.showcase import oracle as o
 from haulmart.showcase.registry import AS_OF, Context, query
 
@@ -38,6 +38,24 @@ def _(x: Context):
     return listing.page(x.src, "delivery", "Household", 3)
 
 
+def _page_sql(number: str) -> str:
+    """Rows of one page of all active deliveries; ``number`` may use ``n``, the rows in all."""
+    return f"""SELECT {number} AS page, id, folio FROM (
+  SELECT id, folio, n, row_number() OVER (ORDER BY scheduled_departure DESC NULLS FIRST, id) - 1 AS at
+  FROM src_delivery, (SELECT count(*) AS n FROM src_delivery WHERE is_active) c WHERE is_active) r
+WHERE at // 25 + 1 = {number}"""
+
+
+@query("w09_deep_pages", "page i, id i, folio s", "\nUNION ALL\n".join(
+    _page_sql(n) for n in ("1", "((n + 24) // 25 + 1) // 2", "(n + 24) // 25")))
+def _(x: Context):
+    """The first, the middle and the last page of all deliveries, through the directory."""
+    written = pages.SortedListing.write(x.src, "delivery", x.scratch("pages-" + x.sf_dir.strip("/").replace("/", "-")))
+    last = written.pages()
+    parts = [written.page(n).select(F.lit(n).alias("page"), "id", "folio") for n in (1, (last + 1) // 2, last)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("p03_listing_literal_wildcard", "id i", "SELECT id FROM src_customer WHERE is_active AND "
        "(contains(code, '_1') OR contains(upper(business_name), '_1') OR contains(tax_id, '_1') "
        "OR contains(city, '_1'))")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from haulmart.functions import derive as d
@@ -37,6 +38,29 @@ def _(x: Context):
     ])
 
 
+@query("s01_crashed_full_extract", "table_name s, rows i, ids i", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows, sum(id) AS ids FROM {lnd}"
+    for t, lnd in LANDED.items()))
+def _(x: Context):
+    """A full extract that breaks off at its last table leaves the landing tables as they were."""
+    store = Store(x.spark, x.scratch("crashed-" + x.sf_dir.strip("/").replace("/", "-")))
+    Run(store, "full", AS_OF).extract(x.src)
+    emptied = {name: rows.limit(0) for name, rows in x.src.items()}
+    unreadable = F.raise_error(F.lit("unreadable")).cast("string")
+    emptied["maintenance"] = x.src["maintenance"].withColumn("folio", unreadable)
+    try:
+        Run(store, "full", AS_OF).extract(emptied)
+    except PySparkException as error:
+        if "unreadable" not in str(error):
+            raise
+    return audit.stack([
+        store.staging(t).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("source_id").alias("ids")
+        ).select(F.lit(t).alias("table_name"), "rows", "ids")
+        for t in extract.SOURCES
+    ])
+
+
 DELIVERY = ("source_id i, folio s, customer_code s, route_code s, vehicle_plate s, "
             "operator_number s, delay_cause_code s, freight_cost d, status s")
 
@@ -196,6 +220,42 @@ def _(x: Context):
     return log.filter((col("phase") == "TRANSFORM") & (col("status") == "SUCCESS"))
 
 
+# Clean rows of each landing table and where they are loaded.
+_LOG = (
+    ("customer", "c_customer", "dim_customer"), ("vehicle", "c_vehicle", "dim_vehicle"),
+    ("operator", "c_operator", "dim_operator"), ("route", "c_route", "dim_route"),
+    ("delay_cause", "c_cause", "dim_delay_cause"), ("delivery", "f_delivery", "fact_delivery"),
+    ("fuel_load", "f_fuel", "fact_fuel"), ("maintenance", "f_maintenance", "fact_maintenance"),
+)
+
+
+def _logged(phase: str, table: str, read: str, written: str, rejected: str = "0") -> str:
+    return (f"SELECT '{phase}' AS phase, '{table}' AS table_name, {read} AS rows_read, "
+            f"{written} AS rows_written, {rejected} AS rows_rejected")
+
+
+def _count_of(table: str) -> str:
+    return f"(SELECT count(*) FROM {table})"
+
+
+_DAYS = " UNION ALL ".join(f"SELECT date_id FROM lnd_f_{f}" for f in ("delivery", "fuel", "maintenance"))
+
+
+@query("e14_all_phases", "phase s, table_name s, rows_read i, rows_written i, rows_rejected i", "\nUNION ALL\n".join([
+    *[_logged("EXTRACT", f"stg_{t}", _count_of(f"lnd_{t}"), _count_of(f"lnd_{t}")) for t, _, _ in _LOG],
+    *[_logged("TRANSFORM", f"stg_{t}", _count_of(f"lnd_{t}"), _count_of(f"lnd_{clean}"),
+              f"(SELECT count(*) FROM lnd_rejects WHERE source_table = 'stg_{t}')") for t, clean, _ in _LOG],
+    *[_logged("LOAD", loaded, _count_of(f"lnd_{clean}"), _count_of(f"lnd_{clean}")) for _, clean, loaded in _LOG],
+    _logged("LOAD", "dim_time", "0", "24"),
+    _logged("LOAD", "dim_date", "0", f"(SELECT date_diff('day', {o.key_day('min(date_id)')}, "
+            f"{o.key_day('max(date_id)')}) + 1 FROM ({_DAYS}) k)"),
+]))
+def _(x: Context):
+    """The whole log of a run from the sources: counts taken by the writes of all three phases."""
+    store, summary = x.warehouse()
+    return store.log().filter((col("run_id") == summary.run_id) & (col("status") == "SUCCESS"))
+
+
 @query("e15_quarantine", "source_table s, source_pk s, rule s",
        "SELECT source_table, source_pk, rule FROM rejects")
 def _(x: Context):

@@ -122,9 +122,10 @@ class Context:
             for table in SOURCES:
                 rows = zoned(self.stg[table].withColumn("run_id", F.lit(run.run_id)), run.zone)
                 typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in staging_schema(table)]
-                store.land(table, rows.select(*typed), full=True)
+                store.land(table, run.run_id, rows.select(*typed))
+            store.list_landing(run.run_id, True, dt.datetime.now(dt.timezone.utc))
             loaded = run.load(run.transform())
-            _warehouses[key] = (store, Summary(run.run_id, {}, loaded, store.errors().count()))
+            _warehouses[key] = (store, Summary(run.run_id, {}, loaded, run.rejected))
         return _warehouses[key][0]
 
     def rows(self, group: str) -> DataFrame:

@@ -73,6 +73,7 @@ CONTROL_DDL = {
     "etl_error": "run_id string, source_table string, source_pk string, rule string, "
     "description string, raw_payload string, detected_at timestamp",
     "commits": "seq bigint, run_id string, rebuilt boolean, committed_at timestamp",
+    "landings": "seq bigint, run_id string, whole boolean, landed_at timestamp",
 }
 
 

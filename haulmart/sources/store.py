@@ -4,6 +4,8 @@ Every run writes under its own ``run=<id>`` folder. A reader looks at the
 commit table first and then only at folders of committed runs, so a failed or
 half-finished load is never seen. Dimensions are whole snapshots per run; facts
 only ever gain rows, so a version is the list of runs since the last rebuild.
+Landing tables have a list of their own: a run's extract counts once all of its
+tables lie there, and a whole one replaces those before it by being listed.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -63,36 +65,64 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _put(self, rows: DataFrame, path: str, mode: str) -> int:
+        """Write rows and return how many were written.
+
+        They are counted in the tasks that write them, each of which counts
+        once however often it is tried, so no second job reads them.
+        """
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
+        return seen.get["n"]
+
     def _commits(self) -> DataFrame:
         return self._read("commits", f"{self.root}/commits/*")
 
-    def committed(self) -> list[str]:
-        """Runs of the visible version, oldest first; one small row per run."""
-        commits = self._commits()
-        runs = commits.orderBy("seq").collect()
-        start = max((i for i, r in enumerate(runs) if r.rebuilt), default=0)
+    def _landings(self) -> DataFrame:
+        return self._read("landings", f"{self.root}/landings/*")
+
+    @staticmethod
+    def _since_last(entries: DataFrame, anew: str) -> list[str]:
+        """Runs from the last one that begins ``anew``, oldest first; one small row per run."""
+        runs = entries.orderBy("seq").collect()
+        start = max((i for i, r in enumerate(runs) if r[anew]), default=0)
         return [r.run_id for r in runs[start:]]
 
-    def commit(self, run_id: str, rebuilt: bool, at: dt.datetime) -> None:
-        """Publish a run: a folder of its own number, complete or absent.
+    def _enter(self, table: str, entries: DataFrame, run_id: str, anew: bool, at: dt.datetime) -> None:
+        """Add a run to a list: a folder of its own number, complete or absent.
 
         Two runs that take the same number write the same folder, and the
-        second is refused, so a version has one author.
+        second is refused, so an entry has one author.
         """
-        last = self._commits().agg(F.max("seq")).first()[0]
+        last = entries.agg(F.max("seq")).first()[0]
         seq = (last or 0) + 1
         self.spark.createDataFrame(
-            [(seq, run_id, rebuilt, at)], warehouse_schema("commits")
-        ).coalesce(1).write.mode("error").parquet(f"{self.root}/commits/{seq:012d}")
+            [(seq, run_id, anew, at)], warehouse_schema(table)
+        ).coalesce(1).write.mode("error").parquet(f"{self.root}/{table}/{seq:012d}")
 
-    def staging(self, table: str) -> DataFrame:
-        return self._read(table, f"{self.root}/staging/{table}")
+    def committed(self) -> list[str]:
+        """Runs of the visible version, oldest first."""
+        return self._since_last(self._commits(), "rebuilt")
 
-    def land(self, table: str, rows: DataFrame, full: bool) -> None:
+    def commit(self, run_id: str, rebuilt: bool, at: dt.datetime) -> None:
+        """Publish a run."""
+        self._enter("commits", self._commits(), run_id, rebuilt, at)
+
+    def land(self, table: str, run_id: str, rows: DataFrame) -> int:
+        """Write one landing table of an extract that is not listed yet."""
         ordered = rows.select(*staging_schema(table).fieldNames())
-        ordered.write.mode("overwrite" if full else "append").parquet(
-            f"{self.root}/staging/{table}"
-        )
+        return self._put(ordered, f"{self.root}/staging/run={run_id}/{table}", "overwrite")
+
+    def list_landing(self, run_id: str, whole: bool, at: dt.datetime) -> None:
+        """Make an extract visible, in place of all earlier ones if it is whole."""
+        self._enter("landings", self._landings(), run_id, whole, at)
+
+    def landed(self) -> list[str]:
+        """Extracts that the landing tables consist of, oldest first."""
+        return self._since_last(self._landings(), "whole")
+
+    def staging(self, table: str) -> DataFrame:
+        return self._read(table, *[f"{self.root}/staging/run={r}/{table}" for r in self.landed()])
 
     def dimension(self, table: str, runs: Sequence[str]) -> DataFrame:
         return self._read(table, *[f"{self.root}/{table}/run={r}" for r in runs[-1:]])
@@ -105,8 +135,8 @@ class Store:
         runs = self.committed()
         return self.dimension(table, runs) if table in DIMENSION_DDL else self.fact(table, runs)
 
-    def write(self, table: str, run_id: str, rows: DataFrame) -> None:
-        """Write one table of an unpublished version, typed as declared."""
+    def write(self, table: str, run_id: str, rows: DataFrame) -> int:
+        """Write one table of an unpublished version, typed as declared; its rows."""
         target = warehouse_schema(table)
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
         if table in FACT_DDL:
@@ -116,19 +146,22 @@ class Store:
             typed = typed.repartition(
                 month, F.pmod(F.hash("folio"), F.lit(MONTH_FILES))
             ).sortWithinPartitions("date_id")
-        typed.write.mode("overwrite").parquet(f"{self.root}/{table}/run={run_id}")
+        return self._put(typed, f"{self.root}/{table}/run={run_id}", "overwrite")
 
     def work(self, run_id: str, name: str, rows: DataFrame) -> DataFrame:
         """Write an intermediate result and read it back, cutting its lineage."""
+        return self.counted_work(run_id, name, rows)[0]
+
+    def counted_work(self, run_id: str, name: str, rows: DataFrame) -> tuple[DataFrame, int]:
+        """The same with the number of rows."""
         path = f"{self.root}/work/run={run_id}/{name}"
-        rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        n = self._put(rows, path, "overwrite")
+        return self.spark.read.schema(rows.schema).parquet(path), n
 
-    def append(self, table: str, rows: DataFrame) -> None:
+    def append(self, table: str, rows: DataFrame) -> int:
         target = warehouse_schema(table)
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target]).write.mode(
-            "append"
-        ).parquet(f"{self.root}/{table}")
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
+        return self._put(typed, f"{self.root}/{table}", "append")
 
     def log(self) -> DataFrame:
         return self._read("etl_log", f"{self.root}/etl_log")

@@ -213,3 +213,40 @@ def test_fixture_catalogue(spark, tmp_path):
     row = catalogue.read_fixture(spark, str(path)).first()
     assert (row.id, row.code, row.is_active) == (1, "TRAFICO", True)
     assert catalogue.delay_causes(spark).count() == 8
+
+
+def test_a_broken_full_extract_replaces_nothing(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    Run(store, "full", AS_OF).extract(sources(spark))
+    broken = {name: rows.limit(1) for name, rows in sources(spark).items()}
+    broken["maintenance"] = broken["maintenance"].withColumn(
+        "folio", F.raise_error(F.lit("unreadable")).cast("string"))
+    with pytest.raises(Exception, match="unreadable"):
+        Run(store, "full", AS_OF).extract(broken)
+    assert store.staging("stg_delivery").count() == 6 and len(store.landed()) == 1
+    whole = Run(store, "full", AS_OF)
+    assert whole.extract({n: r.limit(1) for n, r in sources(spark).items()})["stg_delivery"] == 1
+    assert store.staging("stg_delivery").count() == 1 and store.landed() == [whole.run_id]
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    # Shuffled, sorted, in many tasks; and none at all.
+    rows = spark.range(10_001).repartition(13).sort("id")
+    kept, n = store.counted_work("r", "some", rows)
+    assert n == kept.count() == 10_001
+    assert store.counted_work("r", "none", rows.filter("id < 0"))[1] == 0
+    assert store.counted_work("r", "local", spark.createDataFrame([], "id long"))[1] == 0
+
+
+def test_the_log_agrees_with_the_files(spark, loaded):
+    root, summary = loaded
+    store = Store(spark, root)
+    log = store.log().filter(F.col("run_id") == summary.run_id).collect()
+    assert len(log) == 26
+    for r in log:
+        if r.phase == "EXTRACT":
+            landed = spark.read.parquet(f"{root}/staging/run={summary.run_id}/{r.table_name}")
+            assert r.rows_written == landed.count()
+        if r.phase == "LOAD" and r.table_name.startswith(("fact", "dim_date", "dim_time")):
+            assert r.rows_written == spark.read.parquet(f"{root}/{r.table_name}/run={summary.run_id}").count()
