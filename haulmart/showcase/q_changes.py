@@ -41,9 +41,9 @@ def _(x: Context):
 def _page_sql(number: str) -> str:
     """Rows of one page of all active deliveries; ``number`` may use ``n``, the rows in all."""
     return f"""SELECT {number} AS page, id, folio FROM (
-  SELECT id, folio, n, row_number() OVER (ORDER BY scheduled_departure DESC NULLS FIRST, id) - 1 AS at
+  SELECT id, folio, n, row_number() OVER (ORDER BY scheduled_departure DESC NULLS FIRST, id) - 1 AS place
   FROM src_delivery, (SELECT count(*) AS n FROM src_delivery WHERE is_active) c WHERE is_active) r
-WHERE at // 25 + 1 = {number}"""
+WHERE place // 25 + 1 = {number}"""
 
 
 @query("w09_deep_pages", "page i, id i, folio s", "\nUNION ALL\n".join(
