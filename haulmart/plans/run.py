@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ from haulmart.sources.schemas import warehouse_schema
 from haulmart.sources.store import Store
 
 MODES = ("incremental", "full", "rebuild")
+# Tables of one phase that are worked on at once: most of their jobs are too
+# small to fill a cluster, and Spark runs the jobs of several threads side by side.
+AT_ONCE = 4
 
 
 def _now() -> dt.datetime:
@@ -46,7 +51,8 @@ class Run:
     narrow: bool = True
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     pending: list[tuple] = field(default_factory=list)
-    rejected: int = 0
+    # Refused rows of each landing table.
+    refused: dict[str, int] = field(default_factory=dict)
     # Clean tables as written by this run, with their numbers of rows.
     sizes: dict[str, tuple[DataFrame, int]] = field(default_factory=dict)
 
@@ -86,6 +92,18 @@ class Run:
             return None
         return self.since or extract_watermark(self.store.log()).first()["watermark"]
 
+    @property
+    def rejected(self) -> int:
+        return sum(self.refused.values())
+
+    def _each(self, work: Callable, names: Iterable) -> dict:
+        """``work`` of every name, several at once; the first error is raised when all have ended."""
+        names = list(names)
+        target = inheritable_thread_target(self.store.spark)(work)
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            begun = [pool.submit(target, name) for name in names]
+        return {name: done.result() for name, done in zip(names, begun)}
+
     # -- phases -------------------------------------------------------------
 
     def extract(self, sources: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -121,10 +139,14 @@ class Run:
                 "source_pk", "rule", "description", "raw_payload",
                 F.lit(_now()).alias("detected_at"),
             )
-            tally.rejected = self.store.append("etl_error", rejected)
-            self.rejected += tally.rejected
+            tally.rejected = self.refused[table] = self.store.quarantine(self.run_id, table, rejected)
         return rows
 
+    def _settle_all(self, cleaned: Mapping[str, transform.Cleaned]) -> dict[str, DataFrame]:
+        return self._each(
+            lambda group: self._settle(group, cleaned[group], transform.SOURCE_OF[group]), cleaned
+        )
+
     def _size(self, group: str, rows: DataFrame) -> int:
         """Rows of a clean table, counted again only if another one stands in for it."""
         written, n = self.sizes.get(group, (None, 0))
@@ -134,15 +156,13 @@ class Run:
         staging = {table: self.store.staging(table) for table in SOURCES}
         groups: dict[str, DataFrame] = {}
         try:
-            for group, cleaned in transform.clean_dimensions(staging, self.as_of).items():
-                groups[group] = self._settle(group, cleaned, transform.SOURCE_OF[group])
+            groups |= self._settle_all(transform.clean_dimensions(staging, self.as_of))
             only = None
             if self.narrow and not self.full and (published := self.store.committed()):
                 staging, only = self._narrowed(staging, groups, published), F.col(delta.AGAIN)
-            for group, cleaned in transform.clean_facts(
+            groups |= self._settle_all(transform.clean_facts(
                 staging, groups, self.hot_rows, zone=self.zone, fuel_only=only
-            ).items():
-                groups[group] = self._settle(group, cleaned, transform.SOURCE_OF[group])
+            ))
         finally:
             # What failed is logged too; the run ends with the error itself.
             self.flush()
@@ -152,13 +172,13 @@ class Run:
         self, staging: Mapping[str, DataFrame], groups: Mapping[str, DataFrame], published: list[str]
     ) -> dict[str, DataFrame]:
         """Landed facts that a published run has not judged, or that now meet a new member."""
-        members = {}
-        for spec in DIMENSIONS:
+        def new_of(spec):
             known = self.store.dimension(spec.table, published)
             new = delta.new_members(groups[spec.group], known, spec.natural)
-            new = self.store.work(self.run_id, f"{spec.group}_new", new)
-            if not new.isEmpty():
-                members[spec.group] = new
+            return self.store.counted_work(self.run_id, f"{spec.group}_new", new)
+
+        found = self._each(new_of, DIMENSIONS)
+        members = {spec.group: new for spec, (new, n) in found.items() if n}
         return delta.narrowed(
             staging, published, members, {g: transform.SOURCE_OF[g] for g in delta.MEMBERS},
             lambda rows, name: self.store.work(self.run_id, name, rows),
@@ -185,22 +205,22 @@ class Run:
         rebuilt = self.mode == "rebuild"
         visible = store.committed()
         base = [] if rebuilt else visible
-        counts: dict[str, int] = {}
-
-        dims: dict[str, DataFrame] = {}
-        for spec in DIMENSIONS:
+        def load_dimension(spec) -> int:
             with self.phase("LOAD", spec.table) as tally:
                 existing = store.dimension(spec.table, base)
                 incoming = groups[spec.group].select(spec.natural, *spec.attributes)
                 last = (existing.agg(F.max(spec.surrogate)).first()[0] or 0) if base else 0
-                counts[spec.table] = store.write(
+                tally.read = tally.written = self._size(spec.group, groups[spec.group])
+                return store.write(
                     spec.table,
                     self.run_id,
                     upsert(existing, incoming, spec.surrogate, spec.natural,
                            spec.attributes, last),
                 )
-                dims[spec.table] = store.dimension(spec.table, [self.run_id])
-                tally.read = tally.written = self._size(spec.group, groups[spec.group])
+
+        members = self._each(load_dimension, DIMENSIONS)
+        counts = {spec.table: n for spec, n in members.items()}
+        dims = {spec.table: store.dimension(spec.table, [self.run_id]) for spec in DIMENSIONS}
 
         # Date and time survive a rebuild.
         dated = [groups[g] for g, _ in FACTS.values()]
@@ -219,23 +239,30 @@ class Run:
                 "date_key",
             ),
         }
-        for table, (built, key) in calendars.items():
+
+        def load_calendar(table: str) -> int:
+            built, key = calendars[table]
             with self.phase("LOAD", table) as tally:
                 kept = store.dimension(table, visible)
                 tally.written = store.write(
                     table, self.run_id, calendar.add_missing(kept, built, key)
                 )
-            counts[table] = tally.written
+                return tally.written
 
-        for fact, (group, _) in FACTS.items():
+        def load_fact(fact: str) -> int:
+            group = FACTS[fact][0]
             with self.phase("LOAD", fact) as tally:
                 tally.read = self._size(group, groups[group])
                 existing = store.fact(fact, base)
                 tally.written = store.write(
                     fact, self.run_id, fact_rows(groups[group], existing, dims, fact)
                 )
-            counts[fact] = tally.written + (existing.count() if base else 0)
+                return tally.written + (existing.count() if base else 0)
 
+        counts |= self._each(
+            lambda table: load_fact(table) if table in FACTS else load_calendar(table),
+            [*calendars, *FACTS],
+        )
         store.commit(self.run_id, rebuilt or not visible, _now())
         return counts
 

@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from haulmart.sources.schemas import DIMENSION_DDL, FACT_DDL, staging_schema, warehouse_schema
 
@@ -56,14 +55,16 @@ class Store:
 
     def _read(self, table: str, *paths: str) -> DataFrame:
         schema = staging_schema(table) if table.startswith("stg_") else warehouse_schema(table)
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        try:
-            return self.spark.read.schema(schema).parquet(*paths)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        # Nothing written yet is an empty table; one run's folder missing among others is an error.
+        if not paths or (len(paths) == 1 and not self._exists(paths[0])):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _exists(self, path: str) -> bool:
+        """Whether a path, or anything that fits a pattern, is there."""
+        context = self.spark.sparkContext
+        sought = context._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(sought.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(sought))
 
     def _put(self, rows: DataFrame, path: str, mode: str) -> int:
         """Write rows and return how many were written.
@@ -163,8 +164,14 @@ class Store:
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
         return self._put(typed, f"{self.root}/{table}", "append")
 
+    def quarantine(self, run_id: str, table: str, rows: DataFrame) -> int:
+        """Keep what a run refused of one table, in a folder that no other job writes to."""
+        target = warehouse_schema("etl_error")
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
+        return self._put(typed, f"{self.root}/etl_error/{run_id}-{table}", "overwrite")
+
     def log(self) -> DataFrame:
         return self._read("etl_log", f"{self.root}/etl_log")
 
     def errors(self) -> DataFrame:
-        return self._read("etl_error", f"{self.root}/etl_error")
+        return self._read("etl_error", f"{self.root}/etl_error/*")
