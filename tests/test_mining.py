@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from haulmart.plans import clustering, features, supervised, training
 from haulmart.plans.star import Star
+from haulmart.sources.store import Store
 
 
 def frame(spark, n=600):
@@ -136,3 +137,13 @@ def test_the_registered_training_job_is_whole(monkeypatch, spark):
     })
     QUERIES["m20_train_all"].build(SimpleNamespace(spark=spark, star=None, scratch=lambda name: name))
     assert asked == [supervised.Settings(fit_rows=2_000), clustering.Settings()]
+
+
+def test_classifiers_score_in_a_session_that_wrote_a_warehouse(spark, tmp_path):
+    rows = frame(spark, 60)
+    store = Store(spark, str(tmp_path))
+    kept, n = store.counted_work("r", "frame", rows)
+    assert n == 60 and store.append("etl_log", store.log()) == 0
+    for build in supervised.candidates(SMALL).values():
+        scored = supervised.with_score(build(kept).transform(kept))
+        assert scored.filter("score BETWEEN 0 AND 1").count() == 60
