@@ -20,6 +20,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,8 +90,14 @@ class WordEncoder:
 
     def _one_by_one(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         made = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, ids in zip(words, made):
-            yield word, np.array(ids.ids, WIDTH).tobytes()
+        # One array for all: making one for each costs more than what it holds.
+        ids = [m.ids for m in made]
+        data = np.fromiter(chain.from_iterable(ids), WIDTH).tobytes()
+        at = 0
+        for word, own in zip(words, ids):
+            end = at + len(own) * WIDTH.itemsize
+            yield word, data[at:end]
+            at = end
 
     def _together(self, words: list[str]) -> Iterable[tuple[str, bytes]]:
         made = self._tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
@@ -106,6 +113,8 @@ class WordEncoder:
         words = self._remembered.values
         tailed = []
         for word in new:
+            if word.isalpha():
+                continue
             # The lower case of a letter may be letter and mark, which join the sign.
             cut = _TAILED.fullmatch(word)
             if cut is not None and cut[1].lower().isalpha():
