@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from haulmart.operators.keys import insert_only
 from haulmart.plans import features, reports
 from haulmart.plans.period import ALL, Period, from_request
 from haulmart.plans.run import Run, run_etl
@@ -239,6 +240,17 @@ def test_rows_are_counted_as_they_are_written(spark, tmp_path):
     assert store.counted_work("r", "local", spark.createDataFrame([], "id long"))[1] == 0
 
 
+def test_facts_that_meet_an_unwritten_table_are_not_shuffled(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    unwritten = store.fact("fact_delivery", [])
+    assert unwritten.schema == warehouse_schema("fact_delivery") and unwritten.count() == 0
+    assert store.log().schema == warehouse_schema("etl_log") and store.log().count() == 0
+    clean = spark.range(10).select(F.col("id").cast("string").alias("folio"))
+    new = insert_only(unwritten, clean, "folio")
+    assert new.count() == 10
+    assert "Join" not in new._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_the_log_agrees_with_the_files(spark, loaded):
     root, summary = loaded
     store = Store(spark, root)
