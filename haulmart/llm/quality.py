@@ -266,9 +266,10 @@ def judge(rows: DataFrame) -> DataFrame:
 
     The limits of a (language, source) are those of its own sketch where that
     saw ``MIN_SKETCH`` documents, else of its language, else of all. Null
-    languages and sources are groups like any other. The rows of a group are
-    dealt to ``SALTS`` parts, so a source with a third of all rows is not one
-    task's work.
+    languages and sources are groups like any other. The limits are written
+    first: Spark then knows how few they are, and no row is shuffled to meet
+    them while they fit a broadcast. Beyond that, the rows of a group are dealt
+    to ``SALTS`` parts, so a source with a third of all rows is not one task's work.
     """
     table = keep(held(keep(fences(sketches(rows)), "sketched")), "fences")
     names = [f"limit_{i}" for i in range(len(FENCES))]
@@ -297,6 +298,7 @@ def judge(rows: DataFrame) -> DataFrame:
             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part"),
         )
     )
+    chosen = keep(chosen, "limits")
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)))
     met = dealt.join(
         chosen,

@@ -32,8 +32,10 @@ BITS = 64
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-# Variants that unfold in one task's memory at a time.
+# Variants of one group of the shuffle, about, and those that unfold in a worker's
+# memory at a time: sorting and matching them takes some 80 bytes each.
 AT_ONCE = 4_000_000
+PIECE = 1_000_000
 
 
 def fingerprint(text: str | None) -> int:
@@ -154,7 +156,8 @@ def _meet(group: pd.DataFrame, width: int, radius: int, at_once: int) -> pd.Data
     links: list[tuple[int, int]] = []
     if len(prints) > 1:
         left = group["left"].to_numpy().astype(np.int8)
-        _unfold(prints, left, np.arange(len(prints)), width, _Forest(len(prints)), links, at_once)
+        forest, piece = _Forest(len(prints)), min(at_once, PIECE)
+        _unfold(prints, left, np.arange(len(prints)), width, forest, links, piece)
     pairs = np.array(links, np.int64).reshape(-1, 2)
     a, b = prints[pairs[:, 0]], prints[pairs[:, 1]]
     near = np.bitwise_count(a ^ b) <= radius
@@ -166,7 +169,7 @@ def links(prints: DataFrame, radius: int = RADIUS, at_once: int = AT_ONCE) -> Da
 
     Every two fingerprints within the radius are connected by the pairs, not
     each of them by a pair of its own. ``prints`` has distinct longs in ``print``.
-    The prefix is as long as makes a group of even size fit one piece. The
+    The prefix is as long as gives a group of even size ``at_once`` variants. The
     radius is even, as members of a bucket are then within it of each other.
     """
     if radius % 2:

@@ -1,6 +1,9 @@
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -103,3 +106,15 @@ def test_odd_rows(docs_of, odd_rows, clashing):
 def test_empty_table(docs_of):
     empty = docs_of([(1, "x", "en", "s")]).limit(0)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+
+
+def test_a_group_of_a_large_table_unfolds_in_little_memory():
+    rng = np.random.default_rng(7)
+    one = rng.integers(0, 1 << 57, 800, np.uint64)
+    two = one ^ np.uint64(1) << rng.integers(0, 57, 800, np.uint64)
+    group = pd.DataFrame({"print": np.concatenate([one, two]).view(np.int64), "left": 2})
+    tracemalloc.start()
+    found = simhash._meet(group, 57, simhash.RADIUS, simhash.AT_ONCE)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 800 and most < 50e6
