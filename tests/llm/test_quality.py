@@ -88,3 +88,16 @@ def test_odd_rows_have_a_verdict(docs_of, odd_rows, clashing):
 
 def test_empty_table(docs_of):
     assert quality.assess(docs_of([(1, "x", "en", "s")]).limit(0)).count() == 0
+
+
+def test_documents_meet_few_limits_without_a_shuffle(spark, docs_of):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "256k")
+    try:
+        kept = quality.keep_good(docs_of([(i, TEXTS[-3], "en", f"src{i % 3}") for i in range(30)]))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert kept.count() == 30
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
